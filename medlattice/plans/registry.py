@@ -56,3 +56,27 @@ class Fixture:
     @cached_property
     def mortality(self) -> DataFrame:
         return fx.mortality(self.spark, self.dir, self.events)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return fx.clinical_records(self.line)
+
+    @cached_property
+    def diagnostics(self) -> DataFrame:
+        return fx.diagnostics(self.line)
+
+    @cached_property
+    def medications(self) -> DataFrame:
+        return fx.medications(self.line)
+
+    @cached_property
+    def labs(self) -> DataFrame:
+        return fx.lab_results(self.line)
+
+    @cached_property
+    def graph_records(self) -> DataFrame:
+        return fx.graph_records(self.line)
+
+    @cached_property
+    def graph_patients(self) -> DataFrame:
+        return fx.graph_patients(self.spark, self.dir)
