@@ -80,3 +80,15 @@ class Fixture:
     @cached_property
     def graph_patients(self) -> DataFrame:
         return fx.graph_patients(self.spark, self.dir)
+
+    @cached_property
+    def admissions(self) -> DataFrame:
+        return fx.admissions(self.spark, self.dir).withColumn("split", fx.subject_split())
+
+    @cached_property
+    def diagnoses_icd(self) -> DataFrame:
+        return fx.diagnoses_icd(self.line)
+
+    @cached_property
+    def subject_mortality(self) -> DataFrame:
+        return fx.subject_mortality(self.spark, self.dir)
