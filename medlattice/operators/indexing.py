@@ -33,3 +33,32 @@ def dense_index(df: DataFrame, key_cols: list[str] | tuple[str, ...], index_col:
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
     return (local.join(F.broadcast(offsets), "_pid")
             .select(*key_cols, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long").alias(index_col)))
+
+
+def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
+                   num_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
+    """Running sums of ``value_cols`` in ``order_col`` order (distinct order
+    values expected), without moving every row into one partition.
+
+    Range-partition, scan each partition in order with a window partitioned
+    by the partition id (local sums), add per-partition offsets from a
+    table with one row per partition. Output columns ``cum_<col>``.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ranged = df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+    frame = Window.partitionBy("_pid").orderBy(key)
+    if inclusive:
+        frame = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    else:
+        frame = frame.rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"_loc_{c}") for c in value_cols])
+    sizes = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
+                                     for c in value_cols])
+    out = local.join(F.broadcast(offsets), "_pid")
+    for c in value_cols:
+        out = out.withColumn(f"cum_{c}", F.col(f"_off_{c}") + F.col(f"_loc_{c}")).drop(f"_off_{c}", f"_loc_{c}")
+    return out.drop("_pid")

@@ -1,6 +1,7 @@
 """Registered queries. Importing this package fills ``REGISTRY``."""
 
-from medlattice.plans import cohort_queries, graph_queries, phenotype_queries, sequence_queries  # noqa: F401
+from medlattice.plans import (cohort_queries, graph_queries, metric_queries, phenotype_queries,  # noqa: F401
+                              sequence_queries)
 from medlattice.plans.registry import REGISTRY, QuerySpec
 
 __all__ = ["REGISTRY", "QuerySpec"]
