@@ -87,4 +87,6 @@ def with_views(names: list[str] | tuple[str, ...], select: str, extra: list[tupl
     """``WITH v1 AS (...), v2 AS (...), <extra ctes> <select>``."""
     parts = [f"{n} AS ({VIEWS[n][1].strip()})" for n in _order(list(names))]
     parts += [f"{n} AS ({body.strip()})" for n, body in (extra or [])]
+    if not parts:
+        return select.strip()
     return "WITH " + ",\n".join(parts) + "\n" + select.strip()
