@@ -176,5 +176,5 @@ def assemble_vectors(long_df: DataFrame, num_features: int, key: str = "patient_
     per_key = long_df.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(idx).cast("int"), F.col(value).cast("double")))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
-                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
+                        lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)))
     return per_key.select(key, array_to_vector(dense).alias(out))

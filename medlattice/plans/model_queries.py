@@ -276,3 +276,11 @@ def q_mortality_scores(fx):
     model = models.logistic_regression(data.where(F.col("split") == "train"))
     scored = model.transform(data.where(F.col("split") != "train"))
     return scored.select("subject_id", "split", models.positive_probability(scored).alias("mortality"))
+
+
+@query("streaming_kmeans_centers", None, ("Z1", "M14"))
+def q_streaming_kmeans_centers(fx):
+    """Structured-Streaming k-means over the embeddings stream: final centers."""
+    from medlattice.streaming.kmeans import streaming_kmeans_centers
+
+    return streaming_kmeans_centers(fx.spark, fx.dir, k=3, dim=10)

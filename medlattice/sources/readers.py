@@ -52,7 +52,13 @@ def table_name_from_path(path: str) -> str:
 def load_csv_table(spark: SparkSession, path: str, name: str | None = None,
                    schema: T.StructType | None = None) -> DataFrame:
     """CSV with header, comma-separated, malformed rows dropped, all
-    columns text unless a schema is given; registered as a temp view."""
+    columns text unless a schema is given; registered as a temp view.
+
+    CSV column pruning is switched off for the session: with it, a query
+    that needs few columns (``count()``) skips parsing the rest and keeps
+    rows that DROPMALFORMED should drop.
+    """
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = spark.read.option("header", True).option("mode", "DROPMALFORMED").option("sep", ",")
     if schema is not None:
         reader = reader.schema(schema)
