@@ -7,8 +7,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Broadcast a side only when its row count is proven below this bound.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Broadcast a side only when its estimated size is below this bound.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def get_spark(app: str = "medlattice", master: str | None = None,
@@ -60,17 +60,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def bounded_count(df: DataFrame, bound: int) -> int | None:
-    """Count rows of ``df`` but stop after ``bound + 1``; None means 'more than bound'."""
+    """Count rows of ``df`` but stop after ``bound + 1``; None means 'more than bound'.
+
+    This runs a job; use it only where the DataFrame is cheap or cached.
+    """
     n = df.limit(bound + 1).count()
     return n if n <= bound else None
 
 
-def maybe_broadcast(df: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven to hold at most ``bound`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (no job runs). For joins and
+    aggregates the estimate is an upper bound in practice (it assumes no
+    reduction), so a small estimate is a safe proof of smallness."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def maybe_broadcast(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the plan's size estimate is below the bound.
 
-    Above the bound the plain DataFrame is returned and Spark/AQE picks a
-    shuffle join instead.
+    No job is run. Beyond the bound the plain DataFrame is returned; Spark
+    then plans a shuffle join, and AQE may still switch to a broadcast at
+    run time once a shuffle stage's real size is known to be small
+    (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
     """
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if bounded_count(df, bound) is not None else df
+    try:
+        small = estimated_bytes(df) <= bound_bytes
+    except Exception:  # noqa: BLE001 - statistics unavailable
+        small = False
+    return F.broadcast(df) if small else df
