@@ -39,7 +39,7 @@ def alive_events(events: DataFrame, mortality: DataFrame) -> DataFrame:
 
 def with_cohort(per_patient: DataFrame, mortality: DataFrame) -> DataFrame:
     """Tag one-row-per-patient data with 'dead'/'alive' (J18 without KeyError)."""
-    dead = mortality.select("patient_id", F.lit(True).alias("_dead")).distinct()
+    dead = mortality.select("patient_id").distinct().withColumn("_dead", F.lit(True))
     return (per_patient.join(dead, "patient_id", "left")
             .withColumn("cohort", F.when(F.col("_dead"), F.lit(DEAD)).otherwise(F.lit(ALIVE)))
             .drop("_dead"))
@@ -108,7 +108,7 @@ def top_codes(events: DataFrame, mortality: DataFrame, k: int = 5,
     One aggregate over (cohort, prefix, event_id) with map-side partial
     counts, then a grouped row_number that Spark plans as WindowGroupLimit.
     """
-    dead = mortality.select("patient_id", F.lit(True).alias("_dead")).distinct()
+    dead = mortality.select("patient_id").distinct().withColumn("_dead", F.lit(True))
     prefix = F.coalesce(*[F.when(F.col("event_id").startswith(p), F.lit(p)) for p in prefixes])
     counts = (events.select("patient_id", "event_id")
               .withColumn("event_type", prefix)

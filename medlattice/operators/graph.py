@@ -85,7 +85,7 @@ def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k
             .orderBy(F.desc(F.round("similarity", 12)), F.asc("patient_id")).limit(k))
 
 
-def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET) -> DataFrame:
+def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct_input: bool = False) -> DataFrame:
     """(p1, p2, similarity) for every pair p1 < p2 sharing a code.
 
     Inverted-index self-join on the code; pairs with no shared code have
@@ -94,9 +94,13 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET) -> DataF
     b = ceil(d / salt_target) buckets per side and the join key becomes
     (code, bucket_left, bucket_right), so no task sees more than about
     salt_target rows per side; every pair meets exactly once. Intersection
-    counts are partially aggregated right after the join.
+    counts are partially aggregated right after the join. Pass
+    ``distinct_input=True`` when pairs are already distinct (graph edges
+    are) to skip one shuffle.
     """
-    e = pairs.select("patient_id", "code_id").distinct()
+    e = pairs.select("patient_id", "code_id")
+    if not distinct_input:
+        e = e.distinct()
     code_deg = e.groupBy("code_id").agg(F.count(F.lit(1)).alias("_d"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(salt_target))).cast("int")
     e2 = e.join(maybe_broadcast(code_deg.select("code_id", nb.alias("_nb"))), "code_id")

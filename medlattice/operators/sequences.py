@@ -1,16 +1,17 @@
 """Visit-sequence datasets: code map, per-patient visit sequences, multi-hot.
 
 Long form ``(subject_id, visit_no, code_idx)`` is the working shape: it is
-built with joins and a per-subject row number, never by collecting a
+built with joins and a distributed visit numbering, never by collecting a
 patient's history into one value. The nested form (a list of visits of
-codes) is offered for consumers that need it, built from the long form.
+codes, one row per subject) is offered for consumers that need that
+format; the registered queries use the long form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import icd9_main_digits
@@ -34,9 +35,20 @@ def visit_codes(diagnoses: DataFrame, codemap: DataFrame,
 
 
 def numbered_visits(admissions: DataFrame) -> DataFrame:
-    """visit_no 1.. per subject by admit time, ties by hadm_id."""
-    w = Window.partitionBy("subject_id").orderBy("admit_time", "hadm_id")
-    return admissions.withColumn("visit_no", F.row_number().over(w))
+    """visit_no 1.. per subject by admit time, ties by hadm_id.
+
+    Not a window partitioned by subject (a subject with a third of all
+    stays would sit in one task): every stay gets its global position in
+    (subject, admit_time, hadm_id) order from the range-partitioned dense
+    index, and visit_no = position - first position of the subject + 1;
+    the first position is a partial-aggregated minimum per subject.
+    """
+    keys = ["subject_id", "admit_time", "hadm_id"]
+    pos = dense_index(admissions, keys, "_g")
+    first = pos.groupBy("subject_id").agg(F.min("_g").alias("_f"))
+    return (admissions.join(pos, keys).join(first, "subject_id")
+            .withColumn("visit_no", (F.col("_g") - F.col("_f") + 1).cast("int"))
+            .drop("_g", "_f"))
 
 
 def visit_sequence_long(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,

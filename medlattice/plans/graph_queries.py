@@ -88,7 +88,7 @@ JOIN (SELECT patient_id, count(*) AS n FROM pc GROUP BY patient_id) db ON db.pat
 def q_jaccard_pairs(fx):
     """Jaccard similarity of every patient pair that shares a code."""
     _, e = _graph(fx)
-    s = graph.jaccard_all_pairs(graph.patient_code_pairs(e))
+    s = graph.jaccard_all_pairs(graph.patient_code_pairs(e), distinct_input=True)
     return s.select("p1", "p2", F.round("similarity", 9).alias("similarity"))
 
 
@@ -135,4 +135,5 @@ def q_random_walk_patients(fx):
 def q_pic_clusters(fx):
     """Power-iteration clustering (k=3, 100 iterations) of the Jaccard graph."""
     _, e = _graph(fx)
-    return graph.power_iteration_clusters(graph.jaccard_all_pairs(graph.patient_code_pairs(e)), k=3, max_iter=100)
+    sims = graph.jaccard_all_pairs(graph.patient_code_pairs(e), distinct_input=True)
+    return graph.power_iteration_clusters(sims, k=3, max_iter=100)
