@@ -178,3 +178,25 @@ def q_labeled_samples(fx):
     filt = _filtered(fx)
     return features.labeled_samples(features.count_features(filt), filt).select(
         "patient_id", "label", "features", "split")
+
+
+@query("parsed_svmlight", with_views(["filt", "fmap", "mort"], """
+SELECT a.patient_id, CAST(CASE WHEN m.patient_id IS NULL THEN 0 ELSE 1 END AS DOUBLE) AS label,
+       CAST(a.feature_id AS INT) AS idx, round(a.feature_value, 6) AS value
+FROM (SELECT patient_id, feature_id, v / max(v) OVER (PARTITION BY feature_id) AS feature_value
+      FROM (SELECT f.patient_id, m.idx AS feature_id,
+                   round(sum(CASE WHEN substr(f.event_id, 1, 1) = 'L' THEN 1.0 ELSE f.value END), 6) AS v
+            FROM filt f JOIN fmap m ON f.event_id = m.event_id
+            WHERE f.value IS NOT NULL GROUP BY f.patient_id, m.idx) x
+      QUALIFY max(v) OVER (PARTITION BY feature_id) <> 0) a
+LEFT JOIN mort m ON a.patient_id = m.patient_id"""), ("S7", "K4", "F9", "S1"))
+def q_parsed_svmlight(fx):
+    """svmlight text (id label i:v ...) written by the ETL, parsed back to pairs."""
+    from medlattice.sources.readers import parse_svmlight
+
+    agg = features.aggregate_events(_filtered(fx), features.feature_map_by_name(fx.events))
+    labels = features.patient_labels(agg.select("patient_id").distinct(), fx.mortality)
+    text = features.svmlight_text(features.svmlight_rows(agg, labels), with_id=True)
+    parsed = parse_svmlight(text, with_id=True)
+    return parsed.select("patient_id", "label", F.explode("pairs").alias("p")).select(
+        "patient_id", "label", F.col("p.idx").alias("idx"), F.col("p.value").alias("value"))

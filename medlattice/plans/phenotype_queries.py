@@ -166,3 +166,36 @@ def q_cleaned_diagnostics(fx):
         F.col("encounter_id").cast("string").alias("Encounter_ID"),
         F.concat(F.lit("DX"), F.col("brand").cast("string")).alias("code"))
     return clinical.clean_diagnostics(enc, dx)
+
+
+# ----------------------------------------------------------- D10 raw text
+
+@query("graph_lab_records", with_views(["line"], """
+SELECT suppkey AS subject_id, CAST(datediff('day', DATE '1970-01-01', ship_date) AS BIGINT) * 86400000 AS date,
+       'L' || CAST(partkey AS VARCHAR) AS lab_name, CAST(quantity AS VARCHAR) AS value
+FROM line WHERE flag = 'N' AND linenumber <> 7"""), ("D10", "F12", "P6", "S5"))
+def q_graph_lab_records(fx):
+    """Lab rows of the graph loader from raw text: epoch dates, text values, empties dropped."""
+    m = fx.line.where(F.col("flag") == "N")
+    raw = m.select(F.col("suppkey").cast("string").alias("subject_id"),
+                   (F.unix_date("ship_date").cast("long") * 86400000).cast("string").alias("date"),
+                   F.concat(F.lit("L"), F.col("partkey").cast("string")).alias("lab_name"),
+                   F.when(F.col("linenumber") == 7, F.lit("")).otherwise(F.col("quantity").cast("string")).alias("value"))
+    return clinical.clean_graph_labs(raw)
+
+
+@query("graph_patient_records", with_views(["mort"], """
+SELECT CAST(c.c_custkey AS VARCHAR) AS subject_id,
+       CASE WHEN c.c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex, '' AS dob,
+       COALESCE(CAST(m.death_date AS VARCHAR), '') AS dod
+FROM customer c LEFT JOIN mort m ON m.patient_id = c.c_custkey"""), ("D10", "P15"))
+def q_graph_patient_records(fx):
+    """Patient rows of the graph loader: missing dob/dod filled with ''."""
+    c = fx.spark.read.parquet(f"{fx.dir}/customer.parquet").select("c_custkey", "c_nationkey")
+    m = fx.mortality.select(F.col("patient_id").alias("c_custkey"), "death_date")
+    raw = c.join(m, "c_custkey", "left").select(
+        F.col("c_custkey").cast("string").alias("subject_id"),
+        F.when(F.col("c_nationkey") % 2 == 0, "F").otherwise("M").alias("sex"),
+        F.lit(None).cast("string").alias("dob"),
+        F.date_format("death_date", "yyyy-MM-dd").alias("dod"))
+    return clinical.clean_patients(raw)
