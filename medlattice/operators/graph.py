@@ -21,6 +21,8 @@ from medlattice.session import ensure_checkpoint_dir, maybe_broadcast
 PATIENT = "patient"
 # Rows of one code per (salt, salt) task in the all-pairs self-join.
 SALT_TARGET = 2048
+# Out-edges of one vertex per (vertex, salt) partition key in the random walk.
+EDGE_SALT_TARGET = 100_000
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:
@@ -119,7 +121,8 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct
 
 
 def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: int = 100,
-                alpha: float = 0.15, checkpoint_every: int = 4) -> DataFrame:
+                alpha: float = 0.15, checkpoint_every: int = 4,
+                salt_target: int = EDGE_SALT_TARGET) -> DataFrame:
     """Random walk with restart from ``source``; vertex_id, rank.
 
     Start: alpha at the source, 0 elsewhere; edge weight 1/outdegree; each
@@ -127,23 +130,37 @@ def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: in
     vertex without in-edges keeps its start value (which that formula also
     gives). Only vertices with rank > 0 are stored and send messages.
 
-    Per round one shuffle (the message sum by destination); the weighted
-    edges are cached hash-partitioned by src, and the ranks come out of the
-    aggregate hash-partitioned by vertex, so the edge side is never
-    re-shuffled: the join is a shuffled hash join that builds on the ranks
-    and streams the edges (no per-round sort, no broadcast of a side that
-    grows with the graph). Lineage is cut with a reliable ``checkpoint`` every few
-    rounds in ``spark.checkpoint.dir`` (measured: planning a longer chain
-    costs more than the small checkpoint write). AQE is switched off inside the loop
-    only (it would re-split partitions and break the co-partitioning).
+    The weighted edges are cached once, hash-partitioned by src; the ranks
+    leave each round's aggregate hash-partitioned by vertex, so the join
+    (a shuffled hash join that builds on the ranks and streams the edges:
+    no per-round sort, no broadcast of a side that grows with the graph)
+    needs no shuffle and the only per-round shuffle is the message sum
+    (partially aggregated). When some vertex has more than ``salt_target``
+    out-edges (decided once from the degree table), the edges are instead
+    partitioned by (src, salt) with ceil(d / salt_target) salts per vertex,
+    so a hot vertex's edges are split over many tasks; the live ranks are
+    then fanned out to their vertex's salts and shuffled each round. Lineage is cut with a reliable
+    ``checkpoint`` every few rounds in ``spark.checkpoint.dir`` (measured:
+    planning a longer chain costs more than the small checkpoint write).
+    AQE is switched off inside the loop only, so the cached edge
+    partitioning is kept.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    w_edges = (edges.select("src", "dst").join(outdeg, "src")
-               .select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"))
-               .repartition(n, "src").persist())
+    n_salts = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(salt_target))).cast("int")
+    # one number from the per-vertex degree table decides whether any vertex is hot
+    salted = outdeg.agg(F.max("_deg")).first()[0] or 0
+    salted = salted > salt_target
+    w_edges = edges.select("src", "dst").join(outdeg, "src").select(
+        "src", F.pmod(F.xxhash64("dst"), n_salts).alias("salt"), "dst", (F.lit(1.0) / F.col("_deg")).alias("w"))
+    if salted:
+        w_edges = w_edges.repartition(n, "src", "salt").persist()
+        salts = outdeg.select(F.col("src").alias("vid"), n_salts.alias("_ns")).repartition(n, "vid").persist()
+    else:
+        w_edges = w_edges.repartition(n, "src").persist()
+        salts = None
     seed = (vertices.where(F.col("vertex_id") == source)
             .select(F.col("vertex_id").alias("vid"), F.lit(0.0).alias("m")).persist())
     ranks = seed.select("vid", F.lit(alpha).alias("rank"))
@@ -151,8 +168,15 @@ def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: in
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         for it in range(num_iter):
-            live = ranks.where(F.col("rank") > 0).hint("shuffle_hash")
-            msgs = (w_edges.join(live, w_edges.src == live.vid)
+            if salted:
+                live = (ranks.where(F.col("rank") > 0).join(salts, "vid")
+                        .select("vid", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("salt"), "rank")
+                        .repartition(n, "vid", "salt").hint("shuffle_hash"))
+                cond = (w_edges.src == live.vid) & (w_edges.salt == live.salt)
+            else:
+                live = ranks.where(F.col("rank") > 0).hint("shuffle_hash")
+                cond = w_edges.src == live.vid
+            msgs = (w_edges.join(live, cond)
                     .select(F.col("dst").alias("vid"), (F.col("rank") * F.col("w")).alias("m")))
             summed = msgs.unionByName(seed).groupBy("vid").agg(F.sum("m").alias("s"))
             ranks = summed.select(
@@ -164,6 +188,8 @@ def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: in
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
         w_edges.unpersist()
+        if salts is not None:
+            salts.unpersist()
         seed.unpersist()
     return (vertices.select("vertex_id", "kind")
             .join(ranks.withColumnRenamed("vid", "vertex_id"), "vertex_id", "left")

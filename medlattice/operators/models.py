@@ -206,21 +206,24 @@ def train_sgd_ensemble(bagged: DataFrame, n_feature: int, eta: float = 0.01, mu:
 
 
 def ensemble_probability(weights: DataFrame, samples: DataFrame, key: str = "patient_id") -> DataFrame:
-    """Mean over models of sigmoid(Σ w·x). samples: key, pairs.
+    """Mean over the M models of sigmoid(Σ w·x). samples: key, pairs.
 
-    Features are exploded and equi-joined to the weights on idx; every
-    (sample, model) margin is a grouped sum, then averaged per sample.
-    A sample with no weighted feature has margin 0 for that model.
+    Features are exploded and equi-joined to the weights on idx; each
+    (sample, model) margin is a grouped sum. A model with no weight on any
+    of the sample's features has margin 0, i.e. probability 1/2, so
+    mean = (Σ_models-with-margin sigmoid(m) + (M - k)/2) / M: no cross
+    product of samples and models is ever built. M is a one-row aggregate.
     """
     x = samples.select(key, F.explode("pairs").alias("p")).select(key, F.col("p.idx").alias("idx"),
                                                                   F.col("p.value").alias("value"))
-    models = weights.select("model_id").distinct()
+    n_models = weights.agg(F.countDistinct("model_id").alias("_M"))
     margins = (x.join(weights, "idx").groupBy(key, "model_id")
                .agg(F.sum(F.col("weight") * F.col("value")).alias("margin")))
-    all_pairs = samples.select(key).distinct().withColumn("_one", F.lit(1)).join(
-        models.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    full = all_pairs.join(margins, [key, "model_id"], "left").fillna(0.0, ["margin"])
-    return full.groupBy(key).agg(F.avg(sigmoid("margin")).alias("probability"))
+    per_sample = margins.groupBy(key).agg(F.sum(sigmoid("margin")).alias("_s"), F.count(F.lit(1)).alias("_k"))
+    full = metrics.attach_row(samples.select(key).distinct().join(per_sample, key, "left"), n_models)
+    s = F.coalesce(F.col("_s"), F.lit(0.0))
+    k = F.coalesce(F.col("_k"), F.lit(0))
+    return full.select(key, ((s + (F.col("_M") - k) * 0.5) / F.col("_M")).alias("probability"))
 
 
 # ------------------------------------------------------- unsupervised

@@ -78,5 +78,8 @@ def test_random_walk_matches_brute_force(spark):
         want = _brute_walk(ids, edges, 1, rounds, 0.15)
         assert all(abs(got[k] - want[k]) < 1e-12 for k in ids)
         assert all(x >= 0 for x in got.values())
+        salted = {r.vertex_id: r.rank for r in graph.random_walk(v, e, 1, rounds, 0.15, checkpoint_every=2,
+                                                                 salt_target=1).collect()}
+        assert all(abs(salted[k] - want[k]) < 1e-12 for k in ids)
     ranked = graph.random_walk_one_vs_all(v, e, 1, 5).orderBy("position").collect()
     assert [r.position for r in ranked] == [1, 2, 3] and 1 not in [r.patient_id for r in ranked]
