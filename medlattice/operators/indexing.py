@@ -13,13 +13,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Key sets whose size estimate (an upper bound) is below this are numbered
+# by one task; anything larger takes the range-partitioned path.
+SINGLE_TASK_BYTES = 16 * 1024 * 1024
+
+
 def dense_index(df: DataFrame, key_cols: list[str] | tuple[str, ...], index_col: str = "idx",
                 start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Distinct ``key_cols`` of ``df`` numbered start, start+1, ... in key order."""
+    from medlattice.session import estimated_bytes
+
     key_cols = list(key_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*key_cols).dropna(how="any").distinct()
+    if num_partitions is None:
+        try:
+            small = estimated_bytes(keys) <= SINGLE_TASK_BYTES
+        except Exception:  # noqa: BLE001 - statistics unavailable
+            small = False
+        if small:
+            w = Window.orderBy(*key_cols)
+            return keys.select(*key_cols, (F.row_number().over(w) - 1 + start).cast("long").alias(index_col))
     # An explicit partition count keeps AQE from re-splitting the range
     # exchange, so both uses below read the same (reused) shuffle output.
     ranged = keys.repartitionByRange(n, *[F.col(c).asc() for c in key_cols]).sortWithinPartitions(*key_cols)

@@ -51,6 +51,15 @@ def numbered_visits(admissions: DataFrame) -> DataFrame:
             .drop("_g", "_f"))
 
 
+def visit_code_rows(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
+                    transform: Callable[[Column], Column] = icd9_main_digits) -> DataFrame:
+    """subject_id, hadm_id, code_idx (+ split) without visit order: enough
+    for order-free statistics such as sequence sizes."""
+    c = visit_codes(diagnoses, codemap, transform)
+    keep = ["subject_id", "hadm_id"] + [x for x in ("split",) if x in admissions.columns]
+    return admissions.select(*keep).join(c, "hadm_id", "left").select(*keep, "code_idx")
+
+
 def visit_sequence_long(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
                         transform: Callable[[Column], Column] = icd9_main_digits) -> DataFrame:
     """D12 (long): subject_id, visit_no, hadm_id, code_idx (null for a visit

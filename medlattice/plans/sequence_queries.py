@@ -57,7 +57,8 @@ LEFT JOIN (SELECT c_custkey AS subject_id,
            FROM customer GROUP BY c_custkey) l ON s.subject_id = l.subject_id""", _CTES), ("D12", "J20"))
 def q_visit_sequence_sizes(fx):
     """Visits and known codes per subject, with the mortality label."""
-    return sequences.sequence_sizes(_long(fx), sequences.subject_labels(fx.subject_mortality))
+    rows = sequences.visit_code_rows(fx.admissions, fx.diagnoses_icd, _codemap(fx))
+    return sequences.sequence_sizes(rows, sequences.subject_labels(fx.subject_mortality))
 
 
 @query("num_features", with_views(["dx", "adm"], """
@@ -65,7 +66,8 @@ SELECT CAST(COALESCE(max(code_idx), -1) + 1 AS BIGINT) AS num_features FROM vlon
     _CTES), ("A27",))
 def q_num_features(fx):
     """Largest code index in the train sequences plus one."""
-    return sequences.num_features(_long(fx).where(F.col("split") == "train"))
+    rows = sequences.visit_code_rows(fx.admissions, fx.diagnoses_icd, _codemap(fx))
+    return sequences.num_features(rows.where(F.col("split") == "train"))
 
 
 @query("multi_hot_visits", with_views(["dx", "adm"], """

@@ -72,7 +72,8 @@ def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (no job runs). For joins and
     aggregates the estimate is an upper bound in practice (it assumes no
     reduction), so a small estimate is a safe proof of smallness."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
 def maybe_broadcast(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
