@@ -27,9 +27,15 @@ def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
     return F.to_date(_c(c), fmt)
 
 
-def parse_iso_zoned_date(c: ColumnOrName) -> Column:
-    """ISO-8601 timestamp with a zone (``2010-01-31T10:00:00Z``) to a UTC date."""
-    return F.to_date(F.to_timestamp(_c(c), "yyyy-MM-dd'T'HH:mm:ssX"))
+# ISO-8601 zone forms accepted by F4 (Z, +hh, +hhmm, +hh:mm).
+ISO_ZONED_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
+def parse_iso_zoned_date(c: ColumnOrName, patterns: tuple[str, ...] = ISO_ZONED_PATTERNS) -> Column:
+    """ISO-8601 timestamp with a zone (``2010-01-31T10:00:00Z``) to its
+    UTC calendar date, whatever the session time zone; null if unparsable."""
+    ts = F.coalesce(*[F.try_to_timestamp(_c(c), F.lit(p)) for p in patterns])
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
 def shift_days(c: ColumnOrName, days: int) -> Column:

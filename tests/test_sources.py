@@ -54,3 +54,17 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(1, "a b"), (2, "c")]
     writers.write_space_delimited(df, str(tmp_path / "sp"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "sp")).collect()) == ["1 a b", "2 c"]
+
+
+def test_zoned_dates_ignore_session_zone(spark):
+    from medlattice.functions.scalars import parse_iso_zoned_date
+
+    df = spark.createDataFrame([("2010-03-04T23:30:00Z",), ("2010-03-04T23:30:00-05:00",), ("junk",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [str(r[0]) for r in df.select(parse_iso_zoned_date("s")).collect()]
+            assert got == ["2010-03-04", "2010-03-05", "None"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
