@@ -16,7 +16,7 @@ SELECT cohort, min({metric}) AS min_{metric}, max({metric}) AS max_{metric},
 FROM prof GROUP BY cohort""")
 
 
-@query("event_count_metrics", _metric_sql("event_count"), ("D1", "A1", "A2", "J5", "J6", "J18"))
+@query("event_count_metrics", _metric_sql("event_count"), ("D1", "A1", "A2", "J5", "J6", "J18", "P1", "P2", "X4"))
 def q_event_count_metrics(fx):
     """Events per patient: min/max/avg for dead and alive patients."""
     return cohort.event_count_metrics(fx.events, fx.mortality)
@@ -66,7 +66,7 @@ def q_top_codes(fx):
 
 
 @query("index_dates", with_views(["idx"], "SELECT patient_id, index_date, label FROM idx"),
-       ("D3", "A6", "F2", "U1"))
+       ("D3", "A6", "F2", "U1", "P5"))
 def q_index_dates(fx):
     """Last event date for alive patients, death date - 30 days for dead ones."""
     return cohort.index_dates(fx.events, fx.mortality, lead_days=30)

@@ -68,3 +68,13 @@ def test_zoned_dates_ignore_session_zone(spark):
             assert got == ["2010-03-04", "2010-03-05", "None"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_parse_date_and_days(spark):
+    from medlattice.functions.scalars import days_between, parse_date, shift_days
+
+    df = spark.createDataFrame([("2012-02-28",), ("bad",)], "s string")
+    rows = df.select(parse_date("s").alias("d")).select(
+        "d", shift_days("d", 2).alias("e"), days_between(shift_days("d", 2), "d").alias("n")).collect()
+    assert str(rows[0].d) == "2012-02-28" and str(rows[0].e) == "2012-03-01" and rows[0].n == 2
+    assert rows[1].d is None
