@@ -23,8 +23,8 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    """text to date."""
-    return F.to_date(_c(c), fmt)
+    """text to date; malformed text gives null (also under ANSI mode)."""
+    return F.to_date(F.try_to_timestamp(_c(c), F.lit(fmt)))
 
 
 # ISO-8601 zone forms accepted by F4 (Z, +hh, +hhmm, +hh:mm).
