@@ -105,10 +105,14 @@ def split_samples(rows: DataFrame, seed: int = SPLIT_SEED, test_share: float = T
     return rows.withColumn("split", F.when(u <= test_share, F.lit("test")).otherwise(F.lit("train")))
 
 
-def labeled_samples(features_b: DataFrame, filtered: DataFrame) -> DataFrame:
-    """D5d: svmlight rows of the count features joined to window labels, split."""
-    labels = filtered.select("patient_id", "label").distinct()
-    rows = svmlight_rows(features_b, labels, idx="idx", value="normalized_value")
+def labeled_samples(features_b: DataFrame, labels: DataFrame) -> DataFrame:
+    """D5d: svmlight rows of the count features with their labels, split.
+
+    ``labels`` is one row per patient (the index-date table has them: a
+    patient's window label is its index label), so no second pass over the
+    windowed events is needed.
+    """
+    rows = svmlight_rows(features_b, labels.select("patient_id", "label"), idx="idx", value="normalized_value")
     return split_samples(rows)
 
 

@@ -66,15 +66,24 @@ def patient_code_pairs(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src") >= 0).select(F.col("src").alias("patient_id"), F.col("dst").alias("code_id"))
 
 
-def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k: int = 10) -> DataFrame:
+def patient_code_keys(records: DataFrame) -> DataFrame:
+    """The same adjacency straight from the records: distinct (patient_id,
+    kind, code). Similarity jobs need no numeric vertex ids, so they skip
+    the vertex index (an ordered numbering of all codes)."""
+    return records.select(F.col("patient_id").cast("long").alias("patient_id"), "kind", "code").distinct()
+
+
+def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k: int = 10,
+                       code_cols: tuple[str, ...] = ("code_id",)) -> DataFrame:
     """The k patients most similar to ``patient_id`` (ties by id).
 
     Only the query patient's codes are probed in the inverted index;
     patients sharing no code (or with none) score 0 and still compete.
     """
-    mine = pairs.where(F.col("patient_id") == patient_id).select("code_id").distinct()
+    code_cols = list(code_cols)
+    mine = pairs.where(F.col("patient_id") == patient_id).select(*code_cols).distinct()
     inter = (pairs.where(F.col("patient_id") != patient_id)
-             .join(maybe_broadcast(mine), "code_id")
+             .join(maybe_broadcast(mine), code_cols)
              .groupBy("patient_id").agg(F.count(F.lit(1)).alias("i")))
     deg = pairs.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"))
     n_p = deg.where(F.col("patient_id") == patient_id).select(F.col("n").alias("n_p"), F.lit(1).alias("_k"))
@@ -90,7 +99,8 @@ def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k
             .orderBy(F.desc(F.round("similarity", 12)), F.asc("patient_id")).limit(k))
 
 
-def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct_input: bool = False) -> DataFrame:
+def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct_input: bool = False,
+                      code_cols: tuple[str, ...] = ("code_id",)) -> DataFrame:
     """(p1, p2, similarity) for every pair p1 < p2 sharing a code.
 
     Inverted-index self-join on the code; pairs with no shared code have
@@ -103,17 +113,18 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct
     ``distinct_input=True`` when pairs are already distinct (graph edges
     are) to skip one shuffle.
     """
-    e = pairs.select("patient_id", "code_id")
+    code_cols = list(code_cols)
+    e = pairs.select("patient_id", *code_cols)
     if not distinct_input:
         e = e.distinct()
-    code_deg = e.groupBy("code_id").agg(F.count(F.lit(1)).alias("_d"))
+    code_deg = e.groupBy(*code_cols).agg(F.count(F.lit(1)).alias("_d"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(salt_target))).cast("int")
-    e2 = e.join(maybe_broadcast(code_deg.select("code_id", nb.alias("_nb"))), "code_id")
+    e2 = e.join(maybe_broadcast(code_deg.select(*code_cols, nb.alias("_nb"))), code_cols)
     salt = F.pmod(F.xxhash64("patient_id"), F.col("_nb")).cast("int")
     fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = e2.select("code_id", F.col("patient_id").alias("p1"), salt.alias("_sa"), fan.alias("_sb"))
-    right = e2.select("code_id", F.col("patient_id").alias("p2"), fan.alias("_sa"), salt.alias("_sb"))
-    inter = (left.join(right, ["code_id", "_sa", "_sb"])
+    left = e2.select(*code_cols, F.col("patient_id").alias("p1"), salt.alias("_sa"), fan.alias("_sb"))
+    right = e2.select(*code_cols, F.col("patient_id").alias("p2"), fan.alias("_sa"), salt.alias("_sb"))
+    inter = (left.join(right, [*code_cols, "_sa", "_sb"])
              .where(F.col("p1") < F.col("p2"))
              .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("i")))
     deg = maybe_broadcast(e.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n")))

@@ -175,8 +175,9 @@ FROM (SELECT c.patient_id, l.label,
 @query("labeled_samples", _split_sql(), ("D5d", "P14", "F17", "X2", "P3", "J4", "T4"))
 def q_labeled_samples(fx):
     """svmlight rows of the count features with window labels and a hashed 80/20 split."""
-    filt = _filtered(fx)
-    return features.labeled_samples(features.count_features(filt), filt).select(
+    idx = cohort.index_dates(fx.events, fx.mortality)
+    filt = cohort.observation_window(fx.events, idx)
+    return features.labeled_samples(features.count_features(filt), idx).select(
         "patient_id", "label", "features", "split")
 
 

@@ -71,9 +71,8 @@ ORDER BY round(similarity, 12) DESC, patient_id LIMIT 10""", [_VERTICES, _EDGES,
        ("G3", "G2", "T2", "P19", "P20", "F16", "A17", "U5"))
 def q_jaccard_top10(fx):
     """Ten patients most similar to the query patient (Jaccard over codes)."""
-    v, e = _graph(fx)
-    pats = v.where(F.col("kind") == graph.PATIENT).select(F.col("vertex_id").alias("patient_id"))
-    top = graph.jaccard_one_vs_all(graph.patient_code_pairs(e), pats, QUERY_PATIENT, k=10)
+    keys = graph.patient_code_keys(fx.graph_records)
+    top = graph.jaccard_one_vs_all(keys, fx.graph_patients, QUERY_PATIENT, k=10, code_cols=("kind", "code"))
     return top.select("patient_id", F.round("similarity", 9).alias("similarity"))
 
 
@@ -87,8 +86,8 @@ JOIN (SELECT patient_id, count(*) AS n FROM pc GROUP BY patient_id) db ON db.pat
     [_VERTICES, _EDGES, _PAIRS]), ("G4", "J15"))
 def q_jaccard_pairs(fx):
     """Jaccard similarity of every patient pair that shares a code."""
-    _, e = _graph(fx)
-    s = graph.jaccard_all_pairs(graph.patient_code_pairs(e), distinct_input=True)
+    keys = graph.patient_code_keys(fx.graph_records)
+    s = graph.jaccard_all_pairs(keys, distinct_input=True, code_cols=("kind", "code"))
     return s.select("p1", "p2", F.round("similarity", 9).alias("similarity"))
 
 
@@ -134,6 +133,6 @@ def q_random_walk_patients(fx):
 @query("pic_clusters", None, ("G7",))
 def q_pic_clusters(fx):
     """Power-iteration clustering (k=3, 100 iterations) of the Jaccard graph."""
-    _, e = _graph(fx)
-    sims = graph.jaccard_all_pairs(graph.patient_code_pairs(e), distinct_input=True)
+    keys = graph.patient_code_keys(fx.graph_records)
+    sims = graph.jaccard_all_pairs(keys, distinct_input=True, code_cols=("kind", "code"))
     return graph.power_iteration_clusters(sims, k=3, max_iter=100)

@@ -110,8 +110,7 @@ def _bag_samples(fx):
     feats = features.count_features(filt)
     pairs = feats.groupBy("patient_id").agg(F.collect_list(F.struct(
         F.col("idx").cast("int").alias("idx"), F.col("normalized_value").alias("value"))).alias("pairs"))
-    labels = filt.select("patient_id", "label").distinct()
-    return pairs.join(labels, "patient_id")
+    return pairs.join(idx.select("patient_id", "label"), "patient_id")
 
 
 _BAG_U = stable_uniform_sql("patient_id", models.BAG_SEED, "model_id")
