@@ -123,13 +123,21 @@ def top_codes(events: DataFrame, mortality: DataFrame, k: int = 5,
 
 
 def index_dates(events: DataFrame, mortality: DataFrame, lead_days: int = 30) -> DataFrame:
-    """D3: alive -> last event date (label 0); dead -> death date - lead_days (label 1)."""
-    alive = (alive_events(events.select("patient_id", "event_date"), mortality)
-             .groupBy("patient_id").agg(F.max("event_date").alias("index_date"))
-             .withColumn("label", F.lit(0)))
-    dead = mortality.select(
-        "patient_id", shift_days("death_date", -lead_days).alias("index_date"), F.lit(1).alias("label"))
-    return alive.unionByName(dead)
+    """D3: alive -> last event date (label 0); dead -> death date - lead_days (label 1).
+
+    One per-patient aggregate of the events (partial, so hot patients are
+    combined map-side) full-outer-joined to mortality on patient_id: each
+    input is read once. Dead patients come from mortality whether or not
+    they have events; alive ones are patients with events not in mortality.
+    """
+    last = events.groupBy("patient_id").agg(F.max("event_date").alias("_last"))
+    dead = mortality.select("patient_id", F.col("death_date").alias("_death"))
+    j = last.join(dead, "patient_id", "full_outer")
+    is_dead = F.col("_death").isNotNull()
+    return j.select(
+        "patient_id",
+        F.when(is_dead, shift_days("_death", -lead_days)).otherwise(F.col("_last")).alias("index_date"),
+        F.when(is_dead, F.lit(1)).otherwise(F.lit(0)).alias("label"))
 
 
 def observation_window(events: DataFrame, index: DataFrame, window_days: int = 2000) -> DataFrame:

@@ -44,12 +44,15 @@ def aggregate_events(filtered: DataFrame, feature_map: DataFrame) -> DataFrame:
     """Sum of values for DIAG/DRUG events, count for LAB events, per
     (patient, feature index); rounded to 6 places, divided by the feature max.
 
-    Returns patient_id, feature_id, feature_value.
+    Returns patient_id, feature_id, feature_value (and label when the
+    windowed events carry one: it depends on the patient only, so keeping
+    it as a grouping key costs nothing and spares a later join).
     """
     j = (filtered.where(F.col("value").isNotNull())
          .join(maybe_broadcast(feature_map), "event_id"))
     contrib = F.when(event_kind("event_id") == "L", F.lit(1.0)).otherwise(F.col("value"))
-    agg = (j.groupBy("patient_id", F.col("idx").alias("feature_id"))
+    keys = ["patient_id"] + (["label"] if "label" in filtered.columns else [])
+    agg = (j.groupBy(*keys, F.col("idx").alias("feature_id"))
            .agg(F.round(F.sum(contrib), 6).alias("v")))
     return _normalize_by_feature_max(agg, "feature_id", "v", "feature_value").drop("v")
 
@@ -58,12 +61,14 @@ def count_features(filtered: DataFrame) -> DataFrame:
     """Non-null value counts per (patient, event id), index by event-id
     rank (0-based), divided by the feature max.
 
-    Returns patient_id, idx, normalized_value, and the map used.
+    Returns patient_id, idx, normalized_value (and label, as in
+    :func:`aggregate_events`).
     """
+    keys = ["patient_id"] + (["label"] if "label" in filtered.columns else [])
     counts = (filtered.where(F.col("value").isNotNull())
-              .groupBy("patient_id", "event_id").agg(F.count("value").alias("featurevalue")))
+              .groupBy(*keys, "event_id").agg(F.count("value").alias("featurevalue")))
     fmap = feature_map_by_name(counts)
-    feats = counts.join(maybe_broadcast(fmap), "event_id").select("patient_id", "idx", "featurevalue")
+    feats = counts.join(maybe_broadcast(fmap), "event_id").select(*keys, "idx", "featurevalue")
     return _normalize_by_feature_max(feats, "idx", "featurevalue", "normalized_value").drop("featurevalue")
 
 
@@ -74,16 +79,20 @@ def patient_labels(patients: DataFrame, mortality: DataFrame) -> DataFrame:
             .withColumn("label", membership_flag("_dead_id")).drop("_dead_id"))
 
 
-def svmlight_rows(features: DataFrame, labels: DataFrame, idx: str = "feature_id",
+def svmlight_rows(features: DataFrame, labels: DataFrame | None = None, idx: str = "feature_id",
                   value: str = "feature_value") -> DataFrame:
     """One row per patient: patient_id, label, features ("i:v ..." ascending).
 
-    ``labels`` holds patient_id, label; patients without a label get 0.
-    The collected list per patient is bounded by the vocabulary size.
+    ``labels`` holds patient_id, label (patients without one get 0); when
+    it is None the features' own label column is used, in the same
+    aggregate (no join). The collected list per patient is bounded by the
+    vocabulary size.
     """
-    per_patient = features.groupBy("patient_id").agg(
-        svmlight_features(F.collect_list(F.struct(F.col(idx).alias("idx"),
-                                                  F.col(value).alias("value")))).alias("features"))
+    pairs = svmlight_features(F.collect_list(F.struct(F.col(idx).alias("idx"), F.col(value).alias("value"))))
+    if labels is None:
+        return features.groupBy("patient_id").agg(
+            F.coalesce(F.max("label"), F.lit(0)).alias("label"), pairs.alias("features"))
+    per_patient = features.groupBy("patient_id").agg(pairs.alias("features"))
     return (per_patient.join(labels.select("patient_id", "label"), "patient_id", "left")
             .select("patient_id", F.coalesce("label", F.lit(0)).alias("label"), "features"))
 
@@ -105,14 +114,13 @@ def split_samples(rows: DataFrame, seed: int = SPLIT_SEED, test_share: float = T
     return rows.withColumn("split", F.when(u <= test_share, F.lit("test")).otherwise(F.lit("train")))
 
 
-def labeled_samples(features_b: DataFrame, labels: DataFrame) -> DataFrame:
-    """D5d: svmlight rows of the count features with their labels, split.
+def labeled_samples(features_b: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """D5d: svmlight rows of the count features with their window labels, split.
 
-    ``labels`` is one row per patient (the index-date table has them: a
-    patient's window label is its index label), so no second pass over the
-    windowed events is needed.
+    The labels travel with the count features (see :func:`count_features`);
+    a separate (patient_id, label) table may be given instead.
     """
-    rows = svmlight_rows(features_b, labels.select("patient_id", "label"), idx="idx", value="normalized_value")
+    rows = svmlight_rows(features_b, labels, idx="idx", value="normalized_value")
     return split_samples(rows)
 
 
@@ -159,6 +167,24 @@ def feature_tuples(diagnostic: DataFrame, medication: DataFrame, lab: DataFrame,
             .unionByName(lab_feature_tuples(lab, lab_candidates).withColumn("source", F.lit("lab"))))
 
 
+def feature_tuples_from_records(records: DataFrame, candidates: dict[str, Iterable[str]] | None = None) -> DataFrame:
+    """D7 in one pass over a long clinical table (patient_id, kind, name,
+    value): count per diagnosis/medication, average per lab test, in a
+    single aggregate keyed by (patient, kind, name). ``candidates`` maps a
+    kind to its allowed names (P9). -> patient_id, feature_name, value, source
+    """
+    r = records
+    if candidates:
+        keep = F.lit(False)
+        for kind, names in candidates.items():
+            keep = keep | ((F.col("kind") == kind) & F.col("name").isin(list(names)))
+        r = r.where(keep)
+    agg = r.groupBy("patient_id", "kind", "name").agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_avg"))
+    return agg.select("patient_id", F.col("name").alias("feature_name"),
+                      F.when(F.col("kind") == "lab", F.col("_avg")).otherwise(F.col("_n").cast("double")).alias("value"),
+                      F.col("kind").alias("source"))
+
+
 def feature_vectors_long(tuples: DataFrame) -> DataFrame:
     """D8 (long form): W2 index over (source, feature_name) in name order,
     joined back -> patient_id, feature_idx, value. Patients without tuples

@@ -149,8 +149,7 @@ GROUP BY a.patient_id, m.patient_id""")
 def q_svmlight_rows(fx):
     """Per patient: label and 'idx:value' pairs ascending by idx."""
     agg = features.aggregate_events(_filtered(fx), features.feature_map_by_name(fx.events))
-    labels = features.patient_labels(agg.select("patient_id").distinct(), fx.mortality)
-    return features.svmlight_rows(agg, labels)
+    return features.svmlight_rows(agg)
 
 
 def _split_sql() -> str:
@@ -175,9 +174,7 @@ FROM (SELECT c.patient_id, l.label,
 @query("labeled_samples", _split_sql(), ("D5d", "P14", "F17", "X2", "P3", "J4", "T4"))
 def q_labeled_samples(fx):
     """svmlight rows of the count features with window labels and a hashed 80/20 split."""
-    idx = cohort.index_dates(fx.events, fx.mortality)
-    filt = cohort.observation_window(fx.events, idx)
-    return features.labeled_samples(features.count_features(filt), idx).select(
+    return features.labeled_samples(features.count_features(_filtered(fx))).select(
         "patient_id", "label", "features", "split")
 
 
@@ -196,8 +193,7 @@ def q_parsed_svmlight(fx):
     from medlattice.sources.readers import parse_svmlight
 
     agg = features.aggregate_events(_filtered(fx), features.feature_map_by_name(fx.events))
-    labels = features.patient_labels(agg.select("patient_id").distinct(), fx.mortality)
-    text = features.svmlight_text(features.svmlight_rows(agg, labels), with_id=True)
+    text = features.svmlight_text(features.svmlight_rows(agg), with_id=True)
     parsed = parse_svmlight(text, with_id=True)
     return parsed.select("patient_id", "label", F.explode("pairs").alias("p")).select(
         "patient_id", "label", F.col("p.idx").alias("idx"), F.col("p.value").alias("value"))

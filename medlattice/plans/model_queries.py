@@ -27,7 +27,7 @@ def _feature_vectors(fx):
     agg = features.aggregate_events(filt, fmap)
     n = fmap.count()
     vec = features.assemble_vectors(agg, n, idx="feature_id", value="feature_value")
-    lab = features.patient_labels(vec.select("patient_id"), fx.mortality)
+    lab = agg.groupBy("patient_id").agg(F.max("label").alias("label"))
     return features.split_samples(vec.join(lab, "patient_id")).persist()
 
 
@@ -108,9 +108,8 @@ def _bag_samples(fx):
     idx = cohort.index_dates(fx.events, fx.mortality)
     filt = cohort.observation_window(fx.events, idx)
     feats = features.count_features(filt)
-    pairs = feats.groupBy("patient_id").agg(F.collect_list(F.struct(
+    return feats.groupBy("patient_id").agg(F.max("label").alias("label"), F.collect_list(F.struct(
         F.col("idx").cast("int").alias("idx"), F.col("normalized_value").alias("value"))).alias("pairs"))
-    return pairs.join(idx.select("patient_id", "label"), "patient_id")
 
 
 _BAG_U = stable_uniform_sql("patient_id", models.BAG_SEED, "model_id")
@@ -177,7 +176,7 @@ def q_pca_embeddings(fx):
 
 
 def _patient_vectors(fx):
-    t = features.feature_tuples(fx.diagnostics, fx.medications, fx.labs)
+    t = features.feature_tuples_from_records(fx.records)
     long_df = features.feature_vectors_long(t)
     n = t.select("source", "feature_name").distinct().count()
     return features.assemble_vectors(long_df, n, idx="feature_idx", value="value")

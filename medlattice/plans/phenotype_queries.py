@@ -97,8 +97,8 @@ FROM line WHERE flag = 'N' {l} GROUP BY 1, 2"""
     d="AND brand IN (1, 2, 3)", m="AND brand IN (4, 5, 6, 7)", l="AND brand IN (8, 9)")), ("D7", "P9", "U1"))
 def q_candidate_features(fx):
     """Feature tuples restricted to candidate codes, medicines and tests."""
-    t = features.feature_tuples(fx.diagnostics, fx.medications, fx.labs,
-                                DIAG_CANDIDATES, MED_CANDIDATES, LAB_CANDIDATES)
+    t = features.feature_tuples_from_records(fx.records, {"diagnostic": DIAG_CANDIDATES,
+                                                          "medication": MED_CANDIDATES, "lab": LAB_CANDIDATES})
     return t.select("patient_id", "feature_name", F.round("value", 9).alias("value"), "source")
 
 
@@ -111,7 +111,7 @@ FROM t JOIN (SELECT source, feature_name,
     [("t", _TUPLES_SQL.format(d="", m="", l=""))]), ("D8", "W2", "F19", "J14"))
 def q_feature_vectors(fx):
     """Long-form patient vectors: feature index by (source, name) order."""
-    t = features.feature_tuples(fx.diagnostics, fx.medications, fx.labs)
+    t = features.feature_tuples_from_records(fx.records)
     v = features.feature_vectors_long(t)
     return v.select("patient_id", "feature_idx", F.round("value", 9).alias("value"))
 

@@ -81,3 +81,22 @@ def test_split_is_disjoint_and_covering(spark):
     counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     assert sum(counts.values()) == 2000 and set(counts) == {"train", "test"}
     assert 300 < counts["test"] < 500
+
+
+def test_index_dates_cover_dead_without_events(spark):
+    ev = _events(spark, [(1, "LAB1", D(2000, 3, 1), None), (2, "LAB1", D(2001, 1, 5), 1.0)])
+    mort = _mort(spark, [(2, D(2001, 2, 1), 1), (9, D(2002, 1, 31), 1)])
+    got = {r.patient_id: (r.index_date, r.label) for r in cohort.index_dates(ev, mort).collect()}
+    assert got == {1: (D(2000, 3, 1), 0), 2: (D(2001, 1, 2), 1), 9: (D(2002, 1, 1), 1)}
+
+
+def test_feature_tuples_one_pass(spark):
+    recs = spark.createDataFrame([
+        (1, "diagnostic", "250.0", None), (1, "diagnostic", "250.0", None), (1, "lab", "hgb", 10.0),
+        (1, "lab", "hgb", 14.0), (2, "medication", "metformin", None), (2, "lab", "ldl", 3.0)],
+        "patient_id long, kind string, name string, value double")
+    t = {(r.patient_id, r.source, r.feature_name): r.value for r in features.feature_tuples_from_records(recs).collect()}
+    assert t == {(1, "diagnostic", "250.0"): 2.0, (1, "lab", "hgb"): 12.0,
+                 (2, "medication", "metformin"): 1.0, (2, "lab", "ldl"): 3.0}
+    c = features.feature_tuples_from_records(recs, {"lab": ["hgb"], "diagnostic": ["250.0"]})
+    assert c.count() == 2
