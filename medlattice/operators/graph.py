@@ -86,11 +86,10 @@ def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k
              .join(maybe_broadcast(mine), code_cols)
              .groupBy("patient_id").agg(F.count(F.lit(1)).alias("i")))
     deg = pairs.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"))
-    n_p = deg.where(F.col("patient_id") == patient_id).select(F.col("n").alias("n_p"), F.lit(1).alias("_k"))
+    n_p = pairs.where(F.col("patient_id") == patient_id).agg(F.count(F.lit(1)).alias("n_p")).scalar()
     cand = (patients.select("patient_id").where(F.col("patient_id") != patient_id).distinct()
             .join(inter, "patient_id", "left").join(deg, "patient_id", "left")
-            .withColumn("_k", F.lit(1))
-            .join(F.broadcast(n_p), "_k", "left"))
+            .withColumn("n_p", n_p))
     i = F.coalesce("i", F.lit(0))
     n = F.coalesce("n", F.lit(0))
     npp = F.coalesce("n_p", F.lit(0))

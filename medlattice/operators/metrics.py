@@ -14,10 +14,14 @@ from medlattice.operators.indexing import running_totals
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a one-row aggregate to every row of ``df`` with a
-    broadcast equi-join on a constant key (a bounded, one-row build side)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
+    """Add the columns of a one-row aggregate to every row of ``df``.
+
+    The aggregate becomes one uncorrelated scalar subquery (a struct of its
+    columns): Spark computes it once and inlines the value, so there is no
+    join and nothing sized by the data is broadcast.
+    """
+    packed = one_row.select(F.struct(*one_row.columns).alias("_row")).scalar()
+    return df.select("*", *[packed.getField(c).alias(c) for c in one_row.columns])
 
 
 def purity(assignments: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:

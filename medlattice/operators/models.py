@@ -291,16 +291,14 @@ def streaming_kmeans_update(centers: DataFrame, points: DataFrame, decay: float
     per cluster c' = (c·n·a + Σx) / (n·a + m), n' = n·a + m with a the
     decay and m the points assigned. Clusters without points keep c and
     decay their weight. centers: cluster, center (array<double>), weight.
-    The center table has k rows, so it is broadcast to the points.
+    The k-row center table reaches every task as one scalar subquery value.
     """
-    packed = centers.agg(F.array_sort(F.collect_list(F.struct("cluster", "center"))).alias("_cs"))
-    pts = points.select(F.col(point_col).cast("array<double>").alias("x"))
+    packed = centers.agg(F.array_sort(F.collect_list(F.struct("cluster", "center")))).scalar()
+    pts = points.select(F.col(point_col).cast("array<double>").alias("x"), packed.alias("_cs"))
     dists = F.transform("_cs", lambda c: F.struct(
         F.aggregate(F.zip_with(F.col("x"), c["center"], lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                     lambda acc, v: acc + v).alias("d"), c["cluster"].alias("cluster")))
-    assigned = (pts.withColumn("_one", F.lit(1))
-                .join(F.broadcast(packed.withColumn("_one", F.lit(1))), "_one")
-                .select("x", F.array_min(dists)["cluster"].alias("cluster")))
+    assigned = pts.select("x", F.array_min(dists)["cluster"].alias("cluster"))
     dim_sums = (assigned.select("cluster", F.posexplode("x").alias("pos", "v"))
                 .groupBy("cluster", "pos").agg(F.sum("v").alias("s")))
     counts = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
