@@ -60,6 +60,21 @@ def visit_code_rows(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFr
     return admissions.select(*keep).join(c, "hadm_id", "left").select(*keep, "code_idx")
 
 
+def visit_code_counts(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
+                      transform: Callable[[Column], Column] = icd9_main_digits) -> DataFrame:
+    """subject_id, hadm_id, n_known (+ split): one row per admission row with
+    the number of its diagnoses whose code is in the map (0 when none).
+
+    The count per stay is partial-aggregated before the shuffle on hadm_id,
+    so diagnosis rows never cross the network; only one row per stay does.
+    """
+    n = (visit_codes(diagnoses, codemap, transform)
+         .groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n_known")))
+    keep = ["subject_id", "hadm_id"] + [x for x in ("split",) if x in admissions.columns]
+    return (admissions.select(*keep).join(n, "hadm_id", "left")
+            .select(*keep, F.coalesce(F.col("n_known"), F.lit(0)).alias("n_known")))
+
+
 def visit_sequence_long(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
                         transform: Callable[[Column], Column] = icd9_main_digits) -> DataFrame:
     """D12 (long): subject_id, visit_no, hadm_id, code_idx (null for a visit
@@ -76,10 +91,15 @@ def subject_labels(mortality: DataFrame) -> DataFrame:
 
 
 def sequence_sizes(long_df: DataFrame, labels: DataFrame) -> DataFrame:
-    """subject_id, label, n_visits, n_codes per subject."""
+    """subject_id, label, n_visits, n_codes per subject.
+
+    ``long_df`` is either the long form (one row per visit code, ``code_idx``)
+    or the per-stay counts of ``visit_code_counts`` (``n_known``); the
+    latter gives the same numbers from one row per stay.
+    """
     keys = ["subject_id"] + (["split"] if "split" in long_df.columns else [])
-    s = long_df.groupBy(*keys).agg(F.countDistinct("hadm_id").alias("n_visits"),
-                                   F.count("code_idx").alias("n_codes"))
+    codes = (F.sum("n_known") if "n_known" in long_df.columns else F.count("code_idx")).cast("long")
+    s = long_df.groupBy(*keys).agg(F.countDistinct("hadm_id").alias("n_visits"), codes.alias("n_codes"))
     return s.join(labels, "subject_id", "left")
 
 

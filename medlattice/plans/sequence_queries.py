@@ -57,7 +57,7 @@ LEFT JOIN (SELECT c_custkey AS subject_id,
            FROM customer GROUP BY c_custkey) l ON s.subject_id = l.subject_id""", _CTES), ("D12", "J20"))
 def q_visit_sequence_sizes(fx):
     """Visits and known codes per subject, with the mortality label."""
-    rows = sequences.visit_code_rows(fx.admissions, fx.diagnoses_icd, _codemap(fx))
+    rows = sequences.visit_code_counts(fx.admissions, fx.diagnoses_icd, _codemap(fx))
     return sequences.sequence_sizes(rows, sequences.subject_labels(fx.subject_mortality))
 
 
