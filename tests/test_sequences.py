@@ -25,3 +25,24 @@ def test_sequences(spark):
     vecs = {(r.subject_id, r.visit_no): r.multi_hot.toArray().tolist()
             for r in sequences.multi_hot_vectors(long_df, 3).collect()}
     assert vecs[(1, 2)] == [0.0, 0.0, 0.0] and vecs[(1, 3)] == [1.0, 0.0, 1.0]
+
+
+def test_sequence_sizes_per_stay_counts_match_long_form(spark):
+    # stay 10 is listed twice (its codes count twice, it is one visit);
+    # stay 12 has only an unknown code; stay 30 has no diagnosis at all
+    adm = spark.createDataFrame([(10, 1, "train"), (10, 1, "train"), (11, 1, "train"), (12, 1, "train"),
+                                 (20, 2, "test"), (30, 3, "test")],
+                                "hadm_id long, subject_id long, split string")
+    dx = spark.createDataFrame([(10, "250.01"), (10, "401.9"), (11, "401.9"), (12, "999.1"), (20, "401.1")],
+                               "hadm_id long, icd9 string")
+    cmap = sequences.build_codemap(dx.where("icd9 <> '999.1'"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "subject_id long, mortality int")
+    labels = sequences.subject_labels(labels)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select("subject_id", "split", "n_visits", "n_codes", "label").collect())
+
+    by_codes = rows(sequences.sequence_sizes(sequences.visit_code_rows(adm, dx, cmap), labels))
+    by_stays = rows(sequences.sequence_sizes(sequences.visit_code_counts(adm, dx, cmap), labels))
+    assert by_stays == by_codes
+    assert by_stays == [(1, "train", 3, 5, 1), (2, "test", 1, 1, 0), (3, "test", 1, 0, None)]
