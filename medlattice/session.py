@@ -59,15 +59,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
-def bounded_count(df: DataFrame, bound: int) -> int | None:
-    """Count rows of ``df`` but stop after ``bound + 1``; None means 'more than bound'.
-
-    This runs a job; use it only where the DataFrame is cheap or cached.
-    """
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (no job runs). For joins and
     aggregates the estimate is an upper bound in practice (it assumes no
