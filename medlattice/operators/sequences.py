@@ -44,11 +44,18 @@ def numbered_visits(admissions: DataFrame) -> DataFrame:
     the first position is a partial-aggregated minimum per subject.
     """
     keys = ["subject_id", "admit_time", "hadm_id"]
+    return admissions.join(numbered_visit_keys(admissions), keys)
+
+
+def numbered_visit_keys(admissions: DataFrame) -> DataFrame:
+    """Distinct (subject_id, admit_time, hadm_id) with their visit_no: the
+    numbering of :func:`numbered_visits` without joining back to the
+    admission rows (one row per stay key; repeated admission rows collapse)."""
+    keys = ["subject_id", "admit_time", "hadm_id"]
     pos = dense_index(admissions, keys, "_g")
     first = pos.groupBy("subject_id").agg(F.min("_g").alias("_f"))
-    return (admissions.join(pos, keys).join(first, "subject_id")
-            .withColumn("visit_no", (F.col("_g") - F.col("_f") + 1).cast("int"))
-            .drop("_g", "_f"))
+    return (pos.join(first, "subject_id")
+            .select(*keys, (F.col("_g") - F.col("_f") + 1).cast("int").alias("visit_no")))
 
 
 def visit_code_rows(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
@@ -126,6 +133,23 @@ def multi_hot(long_df: DataFrame) -> DataFrame:
             .select("subject_id", "visit_no", "code_idx").distinct())
 
 
+def multi_hot_visits(admissions: DataFrame, diagnoses: DataFrame, codemap: DataFrame,
+                     transform: Callable[[Column], Column] = icd9_main_digits) -> DataFrame:
+    """D13/F20 from the raw tables: the rows of :func:`multi_hot`.
+
+    The known codes of a stay become one set before the shuffle on hadm_id
+    (``collect_set`` combines map-side; a set is bounded by the code map),
+    so diagnosis rows never cross the network. One row per stay key joins
+    its set and is exploded; every stay key has its own visit number, so
+    the rows are already distinct and no final shuffle is needed.
+    """
+    sets = (visit_codes(diagnoses, codemap, transform)
+            .groupBy("hadm_id").agg(F.collect_set("code_idx").alias("_codes")))
+    visits = numbered_visit_keys(admissions).select("hadm_id", "subject_id", "visit_no")
+    return (visits.join(sets, "hadm_id")
+            .select("subject_id", "visit_no", F.explode("_codes").alias("code_idx")))
+
+
 def multi_hot_vectors(long_df: DataFrame, n_features: int) -> DataFrame:
     """One 0/1 vector per (subject, visit); empty visits give a zero vector."""
     from pyspark.ml.functions import array_to_vector

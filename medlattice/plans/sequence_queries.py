@@ -75,4 +75,4 @@ SELECT DISTINCT subject_id, CAST(visit_no AS INT) AS visit_no, code_idx FROM vlo
     _CTES), ("D13", "F20"))
 def q_multi_hot_visits(fx):
     """Multi-hot visit rows as (subject, visit, code) indices; repeats collapse."""
-    return sequences.multi_hot(_long(fx))
+    return sequences.multi_hot_visits(fx.admissions, fx.diagnoses_icd, _codemap(fx))

@@ -46,3 +46,14 @@ def test_sequence_sizes_per_stay_counts_match_long_form(spark):
     by_stays = rows(sequences.sequence_sizes(sequences.visit_code_counts(adm, dx, cmap), labels))
     assert by_stays == by_codes
     assert by_stays == [(1, "train", 3, 5, 1), (2, "test", 1, 1, 0), (3, "test", 1, 0, None)]
+
+
+def test_multi_hot_visits_from_stays_match_long_form(spark):
+    adm = spark.createDataFrame([(10, 1, D(2000, 1, 2)), (11, 1, D(2000, 1, 1)), (12, 1, D(2000, 1, 1)),
+                                 (20, 2, D(2000, 1, 1))], "hadm_id long, subject_id long, admit_time date")
+    dx = spark.createDataFrame([(10, "E8121"), (10, "250.01"), (10, "250.02"), (11, "401.9"), (12, "999.1"),
+                                (20, "401.1"), (20, "401.2")], "hadm_id long, icd9 string")
+    cmap = sequences.build_codemap(dx.where("icd9 <> '999.1'"))
+    via_long = sorted(tuple(r) for r in sequences.multi_hot(sequences.visit_sequence_long(adm, dx, cmap)).collect())
+    via_sets = sorted(tuple(r) for r in sequences.multi_hot_visits(adm, dx, cmap).collect())
+    assert via_sets == via_long == [(1, 1, 1), (1, 3, 0), (1, 3, 2), (2, 1, 1)]
