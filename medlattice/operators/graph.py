@@ -108,9 +108,12 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct
     b = ceil(d / salt_target) buckets per side and the join key becomes
     (code, bucket_left, bucket_right), so no task sees more than about
     salt_target rows per side; every pair meets exactly once. Intersection
-    counts are partially aggregated right after the join. Pass
-    ``distinct_input=True`` when pairs are already distinct (graph edges
-    are) to skip one shuffle.
+    counts are partially aggregated right after the join. Each patient's
+    code count rides along on its (patient, code) rows as a grouping key
+    (it depends on the patient only), so the pair table -- the largest
+    intermediate -- is never joined or reshuffled after its aggregate.
+    Pass ``distinct_input=True`` when pairs are already distinct (graph
+    edges are) to skip one shuffle.
     """
     code_cols = list(code_cols)
     e = pairs.select("patient_id", *code_cols)
@@ -118,19 +121,19 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct
         e = e.distinct()
     code_deg = e.groupBy(*code_cols).agg(F.count(F.lit(1)).alias("_d"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(salt_target))).cast("int")
-    e2 = e.join(maybe_broadcast(code_deg.select(*code_cols, nb.alias("_nb"))), code_cols)
+    deg = e.groupBy("patient_id").agg(F.count(F.lit(1)).alias("_n"))
+    e2 = (e.join(maybe_broadcast(code_deg.select(*code_cols, nb.alias("_nb"))), code_cols)
+          .join(maybe_broadcast(deg), "patient_id"))
     salt = F.pmod(F.xxhash64("patient_id"), F.col("_nb")).cast("int")
     fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = e2.select(*code_cols, F.col("patient_id").alias("p1"), salt.alias("_sa"), fan.alias("_sb"))
-    right = e2.select(*code_cols, F.col("patient_id").alias("p2"), fan.alias("_sa"), salt.alias("_sb"))
+    left = e2.select(*code_cols, F.col("patient_id").alias("p1"), F.col("_n").alias("n1"),
+                     salt.alias("_sa"), fan.alias("_sb"))
+    right = e2.select(*code_cols, F.col("patient_id").alias("p2"), F.col("_n").alias("n2"),
+                      fan.alias("_sa"), salt.alias("_sb"))
     inter = (left.join(right, [*code_cols, "_sa", "_sb"])
              .where(F.col("p1") < F.col("p2"))
-             .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("i")))
-    deg = maybe_broadcast(e.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n")))
-    d1 = deg.select(F.col("patient_id").alias("p1"), F.col("n").alias("n1"))
-    d2 = deg.select(F.col("patient_id").alias("p2"), F.col("n").alias("n2"))
-    return (inter.join(d1, "p1").join(d2, "p2")
-            .select("p1", "p2", (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity")))
+             .groupBy("p1", "p2", "n1", "n2").agg(F.count(F.lit(1)).alias("i")))
+    return inter.select("p1", "p2", (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity"))
 
 
 def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: int = 100,
