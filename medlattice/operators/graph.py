@@ -79,16 +79,19 @@ def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k
 
     Only the query patient's codes are probed in the inverted index;
     patients sharing no code (or with none) score 0 and still compete.
+    One pass over the pairs: each row is marked when the query patient has
+    its code, and one per-patient aggregate counts both the patient's codes
+    and the shared ones.
     """
     code_cols = list(code_cols)
-    mine = pairs.where(F.col("patient_id") == patient_id).select(*code_cols).distinct()
-    inter = (pairs.where(F.col("patient_id") != patient_id)
-             .join(maybe_broadcast(mine), code_cols)
-             .groupBy("patient_id").agg(F.count(F.lit(1)).alias("i")))
-    deg = pairs.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"))
+    mine = (pairs.where(F.col("patient_id") == patient_id).select(*code_cols).distinct()
+            .withColumn("_hit", F.lit(1)))
+    per = (pairs.where(F.col("patient_id") != patient_id)
+           .join(maybe_broadcast(mine), code_cols, "left")
+           .groupBy("patient_id").agg(F.count("_hit").alias("i"), F.count(F.lit(1)).alias("n")))
     n_p = pairs.where(F.col("patient_id") == patient_id).agg(F.count(F.lit(1)).alias("n_p")).scalar()
     cand = (patients.select("patient_id").where(F.col("patient_id") != patient_id).distinct()
-            .join(inter, "patient_id", "left").join(deg, "patient_id", "left")
+            .join(per, "patient_id", "left")
             .withColumn("n_p", n_p))
     i = F.coalesce("i", F.lit(0))
     n = F.coalesce("n", F.lit(0))
