@@ -148,29 +148,36 @@ def bagging_fanout(samples: DataFrame, n_models: int, ratio: float, seed: int =
     return fan.where(stable_uniform(key, seed, F.col("model_id")) < ratio)
 
 
-_WEIGHTS = T.StructType([T.StructField("model_id", T.IntegerType()),
-                         T.StructField("idx", T.IntegerType()),
-                         T.StructField("weight", T.DoubleType())])
+_SHARD_WEIGHTS = T.StructType([T.StructField("model_id", T.IntegerType()),
+                               T.StructField("_ns", T.IntegerType()),
+                               T.StructField("idx", T.IntegerType()),
+                               T.StructField("weight", T.DoubleType())])
+
+# Rows one SGD task streams at most; a model's bag beyond this is split.
+SGD_ROWS_PER_SHARD = 2_000_000
 
 
 def _sgd_partition(eta: float, mu: float, n_feature: int):
-    """Stream one partition (sorted by model, then sample order) through
-    per-model SGD; emit each model's non-zero weights when its rows end."""
+    """Stream one partition (sorted by model, shard, then sample order)
+    through SGD, one weight vector per (model, shard); emit its non-zero
+    weights when the shard's rows end."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, w = None, None
+        current, n_shards, w = None, None, None
 
-        def flush(model_id, weights):
+        def flush(key, ns, weights):
             nz = np.nonzero(weights)[0]
-            return pd.DataFrame({"model_id": np.full(len(nz), model_id, dtype=np.int32),
+            return pd.DataFrame({"model_id": np.full(len(nz), key[0], dtype=np.int32),
+                                 "_ns": np.full(len(nz), ns, dtype=np.int32),
                                  "idx": nz.astype(np.int32), "weight": weights[nz]})
 
         for pdf in batches:
-            for model_id, label, idxs, vals in zip(pdf["model_id"], pdf["label"], pdf["idx"], pdf["val"]):
-                if model_id != current:
+            for model_id, shard, ns, label, idxs, vals in zip(pdf["model_id"], pdf["_shard"], pdf["_ns"],
+                                                              pdf["label"], pdf["idx"], pdf["val"]):
+                if (model_id, shard) != current:
                     if current is not None:
-                        yield flush(current, w)
-                    current, w = model_id, np.zeros(n_feature)
+                        yield flush(current, n_shards, w)
+                    current, n_shards, w = (model_id, shard), ns, np.zeros(n_feature)
                 idxs = np.asarray(idxs, dtype=np.int64)
                 vals = np.asarray(vals, dtype=np.float64)
                 margin = float(np.dot(w[idxs], vals))
@@ -182,27 +189,40 @@ def _sgd_partition(eta: float, mu: float, n_feature: int):
                     w[f] -= step
                     margin -= step * v
         if current is not None:
-            yield flush(current, w)
+            yield flush(current, n_shards, w)
 
     return run
 
 
 def train_sgd_ensemble(bagged: DataFrame, n_feature: int, eta: float = 0.01, mu: float = 0.0,
-                       order: str = "patient_id") -> DataFrame:
+                       order: str = "patient_id", rows_per_shard: int = SGD_ROWS_PER_SHARD) -> DataFrame:
     """M8: one L2 SGD logistic regression per model_id.
 
     bagged: model_id, label, pairs (array<struct<idx, value>>), <order>.
-    Rows are hash-partitioned by model and sorted by (model, order) inside
-    each partition; a task holds one weight vector at a time and streams
-    its rows. -> model_id, idx, weight (non-zero weights only).
+    A model's bag of r rows is split into ceil(r / rows_per_shard) shards
+    by a hash of the order key; rows are hash-partitioned by (model, shard)
+    and sorted by (model, shard, order) inside each partition, and a task
+    streams its rows holding one weight vector at a time. Each shard runs
+    the sequential SGD pass; a model's weights are the mean over its
+    shards (parallelized SGD with parameter averaging, Zinkevich et al.
+    2010). A bag within one shard gives exactly the sequential result.
+    -> model_id, idx, weight (non-zero weights only).
     """
+    per_model = bagged.groupBy(F.col("model_id").cast("int").alias("model_id")).agg(
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_shard))).cast("int").alias("_ns"))
     prepared = (bagged.select(F.col("model_id").cast("int").alias("model_id"),
                               F.col("label").cast("double").alias("label"),
                               F.col("pairs.idx").alias("idx"), F.col("pairs.value").alias("val"),
                               F.col(order).alias("_ord"))
-                .repartition("model_id").sortWithinPartitions("model_id", "_ord")
+                # one row per model: bounded by the ensemble size
+                .join(F.broadcast(per_model), "model_id")
+                .withColumn("_shard", F.pmod(F.xxhash64("_ord"), F.col("_ns")).cast("int"))
+                .repartition("model_id", "_shard").sortWithinPartitions("model_id", "_shard", "_ord")
                 .drop("_ord"))
-    return prepared.mapInPandas(_sgd_partition(eta, mu, n_feature), _WEIGHTS)
+    shard_weights = prepared.mapInPandas(_sgd_partition(eta, mu, n_feature), _SHARD_WEIGHTS)
+    return (shard_weights.groupBy("model_id", "idx")
+            .agg((F.sum("weight") / F.first("_ns")).alias("weight"))
+            .where(F.col("weight") != 0.0))
 
 
 def ensemble_probability(weights: DataFrame, samples: DataFrame, key: str = "patient_id") -> DataFrame:

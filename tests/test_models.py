@@ -30,6 +30,28 @@ def test_sgd_matches_sequential_definition(spark):
             assert abs(got.get((m, f), 0.0) - want[f]) < 1e-9
 
 
+def test_sharded_sgd_is_mean_of_sequential_shards(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for pid in range(40):
+        idx = sorted(rng.choice(6, size=3, replace=False).tolist())
+        rows.append((pid, 1 + pid % 2, int(pid % 3 == 0), [(int(i), float(rng.random())) for i in idx]))
+    df = spark.createDataFrame(rows, "patient_id long, model_id int, label int, pairs array<struct<idx:int,value:double>>")
+    # 20 rows per model, 7 per shard -> 3 shards, assigned by the id's hash
+    got = {(r.model_id, r.idx): r.weight
+           for r in models.train_sgd_ensemble(df, 6, eta=0.1, mu=0.01, rows_per_shard=7).collect()}
+    shard = {r.patient_id: r.s for r in df.select(
+        "patient_id", F.pmod(F.xxhash64("patient_id"), F.lit(3)).alias("s")).collect()}
+    for m in (1, 2):
+        want = [0.0] * 6
+        for sh in range(3):
+            seq = [([(p[0], p[1]) for p in r[3]], r[2]) for r in rows if r[1] == m and shard[r[0]] == sh]
+            for f, v in enumerate(_brute_sgd(seq, 6, 0.1, 0.01)):
+                want[f] += v / 3
+        for f in range(6):
+            assert abs(got.get((m, f), 0.0) - want[f]) < 1e-9
+
+
 def test_single_model_ensemble_is_sigmoid(spark):
     w = spark.createDataFrame([(1, 0, 0.5), (1, 2, -1.0)], "model_id int, idx int, weight double")
     s = spark.createDataFrame([(7, [(0, 2.0), (2, 1.0)]), (8, [(1, 3.0)])],
