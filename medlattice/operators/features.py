@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from medlattice.functions.scalars import (event_kind, membership_flag, stable_uniform,
                                           svmlight_features)
 from medlattice.operators.indexing import dense_index
-from medlattice.session import maybe_broadcast
+from medlattice.session import maybe_broadcast, proven_small
 
 # Fixed values of the Pig variant: the split seed and the test share.
 SPLIT_SEED = 6505
@@ -26,15 +26,22 @@ def feature_map_by_name(events: DataFrame, start: int = 0) -> DataFrame:
     return dense_index(events, ["event_id"], "idx", start=start).select("idx", "event_id")
 
 
-def _normalize_by_feature_max(values: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def _normalize_by_feature_max(values: DataFrame, key: str, value: str, out: str,
+                              key_table: DataFrame | None = None) -> DataFrame:
     """A9 + F11: value / max(value) per feature; 0/0 rows are dropped.
 
     The per-feature maximum is a partial-aggregated ``groupBy`` (one row per
     feature) joined back, broadcast only when its size is proven small, so
-    a hot feature never lands in one window partition.
+    a hot feature never lands in one window partition. The optimizer sizes
+    an aggregate like its input, so ``key_table`` (the feature map: at most
+    one maximum per entry) may serve as the proof instead.
     """
     maxima = values.groupBy(key).agg(F.max(value).alias("_max"))
-    return (values.join(maybe_broadcast(maxima), key)
+    if key_table is not None and proven_small(key_table):
+        side = F.broadcast(maxima)
+    else:
+        side = maybe_broadcast(maxima)
+    return (values.join(side, key)
             .withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("_max").cast("double")))
             .where(F.col(out).isNotNull())
             .drop("_max"))
@@ -54,7 +61,7 @@ def aggregate_events(filtered: DataFrame, feature_map: DataFrame) -> DataFrame:
     keys = ["patient_id"] + (["label"] if "label" in filtered.columns else [])
     agg = (j.groupBy(*keys, F.col("idx").alias("feature_id"))
            .agg(F.round(F.sum(contrib), 6).alias("v")))
-    return _normalize_by_feature_max(agg, "feature_id", "v", "feature_value").drop("v")
+    return _normalize_by_feature_max(agg, "feature_id", "v", "feature_value", key_table=feature_map).drop("v")
 
 
 def count_features(filtered: DataFrame) -> DataFrame:

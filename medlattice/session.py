@@ -67,6 +67,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
+def proven_small(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when the plan's size estimate of ``df`` is below the bound (no job runs)."""
+    try:
+        return estimated_bytes(df) <= bound_bytes
+    except Exception:  # noqa: BLE001 - statistics unavailable
+        return False
+
+
 def maybe_broadcast(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the plan's size estimate is below the bound.
 
@@ -77,8 +85,4 @@ def maybe_broadcast(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -
     """
     from pyspark.sql import functions as F
 
-    try:
-        small = estimated_bytes(df) <= bound_bytes
-    except Exception:  # noqa: BLE001 - statistics unavailable
-        small = False
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if proven_small(df, bound_bytes) else df

@@ -100,3 +100,24 @@ def test_feature_tuples_one_pass(spark):
                  (2, "medication", "metformin"): 1.0, (2, "lab", "ldl"): 3.0}
     c = features.feature_tuples_from_records(recs, {"lab": ["hgb"], "diagnostic": ["250.0"]})
     assert c.count() == 2
+
+
+def test_feature_map_proves_maxima_small(spark, monkeypatch):
+    import medlattice.session as session
+
+    fmap = spark.createDataFrame([(0, "DIAG1"), (1, "LAB2")], "idx long, event_id string")
+    filt = spark.createDataFrame([(1, "DIAG1", 2.0), (2, "DIAG1", 4.0), (1, "LAB2", 7.0)],
+                                 "patient_id long, event_id string, value double")
+    # every estimate says "large" except the given feature map's
+    monkeypatch.setattr(session, "estimated_bytes", lambda df: 0 if df is fmap else 1 << 60)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = features.aggregate_events(filt, fmap)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        got = sorted((r.patient_id, r.feature_id, r.feature_value) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    # the maxima join is broadcast too (it would be a sort-merge join without the proof)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert got == [(1, 0, 0.5), (1, 1, 1.0), (2, 0, 1.0)]
