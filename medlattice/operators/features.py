@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from medlattice.functions.scalars import (event_kind, membership_flag, stable_uniform,
                                           svmlight_features)
 from medlattice.operators.indexing import dense_index
-from medlattice.session import maybe_broadcast, proven_small
+from medlattice.session import maybe_broadcast, proven_small, settle
 
 # Fixed values of the Pig variant: the split seed and the test share.
 SPLIT_SEED = 6505
@@ -22,8 +22,9 @@ TEST_SHARE = 0.20
 
 
 def feature_map_by_name(events: DataFrame, start: int = 0) -> DataFrame:
-    """Distinct event ids ranked by name -> (idx, event_id)."""
-    return dense_index(events, ["event_id"], "idx", start=start).select("idx", "event_id")
+    """Distinct event ids ranked by name -> (idx, event_id), settled
+    (computed once, with its measured size, for the size-checked joins)."""
+    return settle(dense_index(events, ["event_id"], "idx", start=start).select("idx", "event_id"))
 
 
 def _normalize_by_feature_max(values: DataFrame, key: str, value: str, out: str,

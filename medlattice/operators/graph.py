@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import safe_ratio
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast
+from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, settle
 
 PATIENT = "patient"
 # Rows of one code per (salt, salt) task in the all-pairs self-join.
@@ -45,7 +45,7 @@ def build_graph(patients: DataFrame, records: DataFrame,
     ``order_cols`` (a total order, so the choice is deterministic); the
     ``max_by`` aggregate is partial, so a hot pair is combined map-side.
     """
-    code_index = dense_index(records, ["kind", "code"], "_i")
+    code_index = settle(dense_index(records, ["kind", "code"], "_i"))
     code_vertices = code_index.select((-1 - F.col("_i")).alias("vertex_id"), "kind", F.col("code").alias("key"))
     patient_vertices = patients.select(
         F.col("patient_id").cast("long").alias("vertex_id"), F.lit(PATIENT).alias("kind"),

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import icd9_main_digits
 from medlattice.operators.indexing import dense_index
-from medlattice.session import maybe_broadcast
+from medlattice.session import maybe_broadcast, settle
 
 
 def build_codemap(diagnoses: DataFrame, transform: Callable[[Column], Column] = icd9_main_digits,
                   code_col: str = "icd9") -> DataFrame:
     """Transformed codes of the given (train) diagnoses numbered 0..
-    in code order; nulls ignored. -> code, code_idx"""
+    in code order; nulls ignored. -> code, code_idx (settled: computed once,
+    with its measured size, so joins against it can be size-checked)"""
     codes = diagnoses.select(transform(F.col(code_col)).alias("code")).where(F.col("code").isNotNull())
-    return dense_index(codes, ["code"], "code_idx").select("code", "code_idx")
+    return settle(dense_index(codes, ["code"], "code_idx").select("code", "code_idx"))
 
 
 def visit_codes(diagnoses: DataFrame, codemap: DataFrame,

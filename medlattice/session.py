@@ -75,6 +75,25 @@ def proven_small(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
         return False
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a derived lookup table once and return it with its real size.
+
+    The optimizer sizes a table derived from data (a dense index over the
+    distinct codes of an event table) like its input, so no size check on
+    it can succeed, and a join against it is planned as a shuffle of the
+    data-sized side. The table is persisted (memory and disk; blocks lost
+    with an executor are recomputed from lineage) and counted once; plans
+    built on the returned DataFrame read the cached relation, whose
+    statistics are the measured size, so :func:`maybe_broadcast` decides
+    on the real size.
+    """
+    from pyspark import StorageLevel
+
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached.select(*df.columns)
+
+
 def maybe_broadcast(df: DataFrame, bound_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the plan's size estimate is below the bound.
 
