@@ -77,7 +77,8 @@ def count_features(filtered: DataFrame) -> DataFrame:
               .groupBy(*keys, "event_id").agg(F.count("value").alias("featurevalue")))
     fmap = feature_map_by_name(counts)
     feats = counts.join(maybe_broadcast(fmap), "event_id").select(*keys, "idx", "featurevalue")
-    return _normalize_by_feature_max(feats, "idx", "featurevalue", "normalized_value").drop("featurevalue")
+    return _normalize_by_feature_max(feats, "idx", "featurevalue", "normalized_value",
+                                     key_table=fmap).drop("featurevalue")
 
 
 def patient_labels(patients: DataFrame, mortality: DataFrame) -> DataFrame:
