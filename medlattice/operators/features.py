@@ -198,7 +198,7 @@ def feature_vectors_long(tuples: DataFrame) -> DataFrame:
     """D8 (long form): W2 index over (source, feature_name) in name order,
     joined back -> patient_id, feature_idx, value. Patients without tuples
     are absent, as in the original."""
-    index = dense_index(tuples, ["source", "feature_name"], "feature_idx")
+    index = settle(dense_index(tuples, ["source", "feature_name"], "feature_idx"))
     return (tuples.join(maybe_broadcast(index), ["source", "feature_name"])
             .select("patient_id", "feature_idx", "value"))
 
