@@ -170,9 +170,18 @@ def label_counts(labels: DataFrame) -> DataFrame:
 
 
 def glucose_means(lab: DataFrame, labels: DataFrame, rules: PhenotypeRules = REFERENCE_RULES) -> DataFrame:
-    """Mean glucose value over lab rows of each phenotype group."""
+    """Mean glucose value over lab rows of each phenotype group.
+
+    Lab rows are reduced to (sum, non-null count, rows) per patient map-side
+    before the join with the labels, so only one row per patient is
+    shuffled (a patient with a third of the rows included); the group mean
+    is the sum of sums over the sum of counts, i.e. the mean over rows.
+    """
     name = normalized_name("test_name")
-    g = lab.where(_is_glucose(name, rules)).select("patient_id", "value")
-    return (g.join(labels, "patient_id")
-            .groupBy("label").agg(F.round(F.avg("value"), 9).alias("mean_glucose"),
-                                  F.count(F.lit(1)).alias("n_tests")))
+    g = (lab.where(_is_glucose(name, rules))
+         .groupBy("patient_id").agg(F.sum("value").alias("_s"), F.count("value").alias("_nv"),
+                                    F.count(F.lit(1)).alias("_nt")))
+    per_label = g.join(labels, "patient_id").groupBy("label").agg(
+        F.sum("_s").alias("_s"), F.sum("_nv").alias("_nv"), F.sum("_nt").alias("n_tests"))
+    mean = F.when(F.col("_nv") > 0, F.col("_s") / F.col("_nv"))
+    return per_label.select("label", F.round(mean, 9).alias("mean_glucose"), "n_tests")
