@@ -104,12 +104,14 @@ def q_randomized_cv_scores(fx):
 
 
 def _bag_samples(fx):
-    """patient_id, label, pairs from the count features (D5b) with window labels."""
+    """patient_id, label, pairs (ascending by idx) from the count features (D5b) with window labels."""
     idx = cohort.index_dates(fx.events, fx.mortality)
     filt = cohort.observation_window(fx.events, idx)
     feats = features.count_features(filt)
-    return feats.groupBy("patient_id").agg(F.max("label").alias("label"), F.collect_list(F.struct(
-        F.col("idx").cast("int").alias("idx"), F.col("normalized_value").alias("value"))).alias("pairs"))
+    # pairs ascending by index, as in an svmlight line: the SGD pass is
+    # order-sensitive, so the order must not depend on the shuffle
+    return feats.groupBy("patient_id").agg(F.max("label").alias("label"), F.array_sort(F.collect_list(F.struct(
+        F.col("idx").cast("int").alias("idx"), F.col("normalized_value").alias("value")))).alias("pairs"))
 
 
 _BAG_U = stable_uniform_sql("patient_id", models.BAG_SEED, "model_id")
