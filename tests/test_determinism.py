@@ -9,7 +9,7 @@ from conftest import SMALL
 
 QUERIES = ["svmlight_rows", "labeled_samples", "count_features", "jaccard_pairs", "jaccard_top10",
            "visit_sequence_codes", "multi_hot_visits", "feature_vectors", "roc_curve", "bagging_assignments",
-           "glucose_means", "sgd_ensemble_weights"]
+           "glucose_means", "sgd_ensemble_weights", "cv_folds", "random_cv_splits", "streaming_kmeans_update"]
 
 
 def _rows(df):
