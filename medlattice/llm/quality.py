@@ -65,7 +65,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def fit_ordinal(columns, values, bounds, shapes, grades, n_grades: int, bits: int = BITS, steps: int = 200, ridge: float = 1e-3,
+def fit_ordinal(columns, values, bounds, shapes, grades, n_grades: int, bits: int = BITS, steps: int = 200, ridge: float = 1e-4,
                 least_docs: int = 8) -> OrdinalModel:
     """Full-batch Adam on the cumulative-link likelihood. Threshold gaps are exponentials, so thresholds stay ordered."""
     n, m = len(grades), 1 << bits
