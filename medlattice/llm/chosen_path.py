@@ -237,7 +237,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         child = F.explode(F.array(F.lit(0), F.lit(1)))
         branched = (many.drop("outside", "main").join(classes.select("id", "deep"), "id")
-                    .withColumn("heap", 2 * F.col("heap") + child))
+                    .withColumn("child", child).withColumn("heap", 2 * F.col("heap") + F.col("child")))
         token = F.element_at("deep", (F.col("root") * below + F.col("heap") - 1).cast("int"))
         nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "root", "heap")
     more = compared[0]
