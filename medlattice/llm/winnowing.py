@@ -10,7 +10,7 @@ composed by halves as well. Everything stays in JVM array expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PRIME = 2147483647
@@ -89,17 +89,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(common / union).cast("double")
 
 
-def with_next_text(df: DataFrame, key: str, text: str, carry: list[str], blocks: int = 4096,
-                   rows_per_block: int = 500) -> DataFrame:
-    """Adds ``next_<column>`` of the next row in descending key order for ``text`` and each
-    column of ``carry``; the last row is followed by the first. Null keys come last; equal keys are ordered by text.
+def in_blocks(df: DataFrame, key: str, text: str, blocks: int = 4096, rows_per_block: int = 500) -> DataFrame:
+    """The rows (key, text) with ``__block`` and ``__sentinel`` (0), for :func:`next_values`.
 
     Rows are dealt to blocks between quantiles of the key (at most ``blocks``,
     so that no block grows with a gap or a cluster of keys), and
-    each block also gets a copy of the first row of the next one.
+    each block also gets a copy (``__sentinel`` 1) of the first row of the next one.
     """
-    from pyspark.sql import Window
-
     n = df.count()
     count = max(1, min(blocks, n // rows_per_block))
     cuts = []
@@ -108,21 +104,23 @@ def with_next_text(df: DataFrame, key: str, text: str, carry: list[str], blocks:
         cuts = sorted(set(df.agg(F.percentile_approx(key, shares, 20 * count)).first()[0] or []))
     block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key))) if cuts else F.lit(0)
     rows = df.withColumn("__block", F.greatest(block, F.lit(0)))
-    moved = [text, *carry]
     # at most `blocks` + 1 rows: the first key of each block
     firsts = rows.groupBy("__block").agg(F.max(key).alias("__key"))
     around = Window.orderBy("__block")
     firsts = firsts.withColumn("__goes", F.coalesce(F.lead("__block").over(around), F.min("__block").over(Window.partitionBy())))
     heads = (rows.join(F.broadcast(firsts.withColumnRenamed("__block", "__from")),
                        (F.col("__block") == F.col("__from")) & F.col(key).eqNullSafe(F.col("__key")))
-             .groupBy("__goes").agg(F.max(F.struct(*moved)).alias("__head"))
-             .select(F.col("__goes").alias("__block"), F.lit(1).alias("__sentinel"), "__head.*"))
-    own = rows.withColumn("__sentinel", F.lit(0))
-    both = own.unionByName(heads, allowMissingColumns=True)
+             .groupBy("__goes").agg(F.max(text).alias(text))
+             .select(F.lit(None).cast(df.schema[key].dataType).alias(key), text, F.col("__goes").alias("__block"), F.lit(1).alias("__sentinel")))
+    return rows.select(key, text, "__block", F.lit(0).alias("__sentinel")).unionByName(heads)
+
+
+def next_values(blocked: DataFrame, key: str, text: str, columns: list[str]) -> DataFrame:
+    """Adds ``next_<column>`` of the next row in descending key order; the last row is followed by
+    the first. Null keys come last; equal keys are ordered by text, downwards."""
     order = Window.partitionBy("__block").orderBy("__sentinel", F.col(key).desc_nulls_last(), F.col(text).desc_nulls_last())
-    for c in moved:
-        both = both.withColumn(f"next_{c}", F.lead(c).over(order))
-    return both.where("__sentinel = 0").drop("__block", "__sentinel")
+    following = blocked.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    return following.where("__sentinel = 0").drop("__block", "__sentinel")
 
 
 def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, window: int = 8,
@@ -135,9 +133,9 @@ def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null ids come last; a single row is its own successor. Empty table: no rows.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = with_fingerprint(rows, "body", "print", k, window, unit)
-    rows = rows.withColumn("hashes", gram_hashes(F.col("print")))
-    rows = with_next_text(rows, "id", "body", ["hashes"])
+    rows = with_fingerprint(in_blocks(rows, "id", "body"), "body", "print", k, window, unit)
+    rows = next_values(rows, "id", "body", ["body", "print"])
+    rows = rows.withColumn("hashes", gram_hashes(F.col("print"))).withColumn("next_hashes", gram_hashes(F.col("next_print")))
     rows = rows.withColumn("n_chars", F.char_length("body").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(
