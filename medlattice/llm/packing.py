@@ -10,6 +10,7 @@ round saves nothing.
 from __future__ import annotations
 
 import re
+import struct
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -21,43 +22,57 @@ from pyspark.sql import functions as F
 from medlattice.llm.common import settle
 
 # Words of plain ASCII or Latin-1 letters: their normal form is their lower case.
+_MARKS = frozenset(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-# White space other than ASCII's, and what str.split takes for white space: not cut by words.
-_ODD = re.compile(r"<\||[\x1c-\x1f\x85\xa0  -     　]")
+# The tokenizer's own pre-token pattern, as it reads for lower-cased plain words (fixed value).
+_PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _tokenizers: dict[str, "WordTokenizer"] = {}
 
 
 class WordTokenizer:
     """Ids of the tokenizers library, with the ids of words kept.
 
-    The tokenizer's pre-tokens never span white space, so a text's ids are those of its words in turn. A
-    kept word costs one lookup. Texts with special-token marks or unusual white space go to
-    the library whole. Memory is bounded: the kept words are dropped at ``most`` entries.
+    The tokenizer's pre-tokens never span white space, so a text's ids are those of its words (runs without
+    ASCII white space) in turn. A kept word costs one lookup. Texts with marks of special tokens go to the
+    library whole. Memory is bounded: kept words are dropped at ``most_words`` entries, pre-tokens at ``most_parts`` (some 200 bytes each).
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most_words: int = 500_000, most_parts: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
-        self.most = most
-        self.words: dict[str, bytes] = {}
+        self.most_words, self.most_parts = most_words, most_parts
+        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.model = self.tokenizer.model
 
     def _part(self, pre_token: str) -> bytes:
+        """Ids of a pre-token of a plain word."""
         got = self.parts.get(pre_token)
         if got is None:
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(pre_token)], "<u4").tobytes()
-            if len(self.parts) >= self.most:
+            ids = [t.id for t in self.model.tokenize(pre_token if pre_token.isascii() else pre_token.encode().decode("latin-1").translate(self.letters))]
+            got = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.parts) >= self.most_parts:
                 self.parts.clear()
             if len(pre_token) <= 64:
                 self.parts[pre_token] = got
         return got
 
-    def word(self, word: str) -> bytes:
-        plain = word.lower() if _PLAIN.fullmatch(word) else self.tokenizer.normalizer.normalize_str(word)
-        got = b"".join([self._part(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)])
-        if len(self.words) >= self.most:
+    def word(self, word: bytes) -> bytes:
+        got = self.words.get(word)
+        if got is not None:
+            return got
+        if word.isalpha():  # bytes: ASCII letters
+            got = self._part(word.decode().lower())
+        elif word[:-1].isalpha() and word[-1:] in _MARKS:
+            got = self._part(word[:-1].decode().lower()) + self._part(word[-1:].decode())
+        elif _PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass")):
+            got = b"".join(map(self._part, _PRE_TOKENS.findall(text.lower())))
+        else:
+            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.words) >= self.most_words:
             self.words.clear()
         if len(word) <= 64:
             self.words[word] = got
@@ -65,15 +80,22 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
-        if _ODD.search(text):
+        if "<|" in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.split()
+        words = text.encode("utf-8", "surrogatepass").split()
         got = list(map(self.words.get, words))
         if None in got:
-            got = [self.words.get(w) or self.word(w) if x is None else x for w, x in zip(words, got)]
+            got = [self.word(w) if x is None else x for w, x in zip(words, got)]
         return b"".join(got)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
 def _tokenizer(path: str) -> WordTokenizer:
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
