@@ -3,14 +3,15 @@
 A text's set is its distinct shingles of words. Every tree starts with all
 sets and branches recursively: a node picks minwise tokens (two coordinates
 of the sets' minhash signatures), and a set goes to the child named by its
-token at each of them. A node that is small, or that holds few sets outside its
-main component, is compared exhaustively; the others branch on. Trees are independent and repeated until
+token at each of them. A node that is small, that holds few sets outside its
+main component, or most of which is one component, is compared exhaustively; the others branch on. Trees are independent and repeated until
 the expected share of missed pairs at the threshold is below the target.
 
 To stay linear within groups of copies: equal sets are one class; each root's child first
 compares its sets with one pivot; links found so are joined into components, and afterwards nodes
-compare only sets of different components. Candidates are filtered by 1-bit minwise sketches
-(allowance: 5.5 standard deviations) and then confirmed on full sets.
+compare only sets of different components. In large nodes, sets most of whose shingles no other set there has are
+left out, as they cannot be alike enough to any. Candidates are filtered by 1-bit minwise sketches
+(allowance: 5.5 standard deviations), in large nodes also by their shingles while they are joined, and then confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from medlattice.llm.components import connected_components
 
 DEPTH = 5
 LEAF = 32
+DENSE = 4
 SKETCH_BITS = 256
 
 
@@ -178,14 +180,41 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 def _members(nodes: DataFrame) -> DataFrame:
     """Adds to (node, id, component, ...): ``outside``, the node's sets outside its main (largest)
-    component, and ``main``; drops nodes of one component."""
+    component, ``main``, and ``dense``: whether that has a good part of the node, which branching
+    would hardly split then. Drops nodes of one component."""
     by = nodes.groupBy("node", "component").agg(F.count("*").alias("n"))
     by = (by.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-          .select("node", (F.col("all") - F.col("top.n")).alias("outside"), F.col("top.component").alias("main"))
+          .select("node", (F.col("all") - F.col("top.n")).alias("outside"), F.col("top.component").alias("main"),
+                  (F.col("top.n") * DENSE >= F.col("all")).alias("dense"))
           .where("outside > 0"))
     return nodes.join(by, "node")
 
 
+def _unique_shingles(sets: DataFrame) -> DataFrame:
+    """(id, unique): how many of a set's shingles no other of the given sets has, where there are any."""
+    tokens = sets.select("id", F.explode("shingles").alias("shingle"))
+    return (tokens.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+            .groupBy("id").agg(F.count("*").alias("unique")))
+
+
+def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: int, sets: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of a node's sets in different components that may be alike: a set outside the main component
+    with any other. Their overlap is at most what either shares with other sets, and their sketches are near;
+    given ``sets`` (of large nodes), their 31-bit shingle hashes overlap enough as well."""
+    few = members.drop("root", "heap").join(sketch, "id")
+    if sets is not None:
+        few = few.join(sets.select("id", F.transform("shingles", lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("tokens")), "id")
+    x, y = few.where("component != main").alias("x"), few.alias("y")
+    most = F.least("x.shared", "y.shared")
+    test = ((F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+            & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
+            & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & _sketch_test(percent, coordinates, "x", "y"))
+    if sets is not None:
+        common = F.size(F.array_intersect("x.tokens", "y.tokens"))
+        test = test & (100 * common >= percent * (F.size("x.tokens") + F.size("y.tokens") - common - 2))
+    return x.join(y, test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
                     recall: float = 0.999999) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per input row.
@@ -201,9 +230,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = settle(set_rows(texts, words, trees), "sets")
     found = (sets.where("n_shingles > 0 and id is not null").groupBy("s1", "s2")
-             .agg(F.min(F.struct("id", "b0", "b1", "b2", "b3", "keys", "deep")).alias("x")))
+             .agg(F.min(F.struct("id", "n_shingles", "b0", "b1", "b2", "b3", "keys", "deep")).alias("x")))
     classes = settle(found.select("s1", "s2", "x.*"), "classes")
     sketch = classes.select("id", "b0", "b1", "b2", "b3")
+    sizes = classes.select("id", F.col("n_shingles").alias("n"), F.col("n_shingles").alias("shared"))
 
     # First level: a node is a root's token. One pivot for each node.
     level = classes.select("id", F.posexplode("keys").alias("root", "token")).select(
@@ -218,28 +248,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     components = connected_components(edges)
 
     # Below: only sets of different components are compared.
-    nodes = (level.drop("a").join(components.withColumnRenamed("node", "id"), "id", "left")
-             .select("node", "id", F.coalesce("component", "id").alias("component"), "root", F.lit(1).alias("heap")))
+    nodes = (level.drop("a").join(components.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id")
+             .select("node", "id", F.coalesce("component", "id").alias("component"), "n", "shared", "root", F.lit(1).alias("heap")))
     compared = []
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
-        few = members if depth == DEPTH else members.where(F.col("outside") <= LEAF)
-        few = few.drop("root", "heap").join(sketch, "id")
-        x, y = few.where("component != main").alias("x"), few.alias("y")
-        test = _sketch_test(percent, coordinates, "x", "y")
-        pair = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-                      & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & test)
-        compared.append(settle(pair.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")), "pairs"))
-        if depth == DEPTH:
-            break
-        many = members.where(F.col("outside") > LEAF)
+        large = F.col("outside") > LEAF
+        compared.append(settle(_compare(members.where(~large), sketch, percent, coordinates), "pairs"))
+        many = members.where(large)
         if many.isEmpty():
             break
+        if depth == 1:
+            # Sets of large nodes: those with too few shingles in common with any other have no link there.
+            ids = settle(many.select("id").distinct(), "ids")
+            full = settle(full_sets(texts.join(ids, "id", "left_semi"), words), "sets")
+            unique = settle(_unique_shingles(full), "unique")
+            many = (many.drop("outside", "main", "dense", "shared").join(unique, "id", "left")
+                    .withColumn("shared", F.col("n") - F.coalesce("unique", F.lit(0))).drop("unique")
+                    .where(100 * F.col("shared") >= percent * F.col("n")))
+            many = settle(_members(many), "members")
+        ready = F.lit(True) if depth == DEPTH else F.col("dense") | (F.col("outside") <= LEAF)
+        compared.append(settle(_compare(many.where(ready), sketch, percent, coordinates, full), "pairs"))
+        many = many.where(~ready)
+        if depth == DEPTH or many.isEmpty():
+            break
         child = F.explode(F.array(F.lit(0), F.lit(1)))
-        branched = (many.drop("outside", "main").join(classes.select("id", "deep"), "id")
+        branched = (many.drop("outside", "main", "dense").join(classes.select("id", "deep"), "id")
                     .withColumn("child", child).withColumn("heap", 2 * F.col("heap") + F.col("child")))
         token = F.element_at("deep", (F.col("root") * below + F.col("heap") - 1).cast("int"))
-        nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "root", "heap")
+        nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "n", "shared", "root", "heap")
     more = compared[0]
     for c in compared[1:]:
         more = more.union(c)
