@@ -253,9 +253,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     compared = []
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
-        large = F.col("outside") > LEAF
-        compared.append(settle(_compare(members.where(~large), sketch, percent, coordinates), "pairs"))
-        many = members.where(large)
+        many = members
+        if depth == 1:
+            large = F.col("outside") > LEAF
+            compared.append(settle(_compare(members.where(~large), sketch, percent, coordinates), "pairs"))
+            many = members.where(large)
         if many.isEmpty():
             break
         if depth == 1:
@@ -268,7 +270,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     .where(100 * F.col("shared") >= percent * F.col("n")))
             many = settle(_members(many), "members")
         ready = F.lit(True) if depth == DEPTH else F.col("dense") | (F.col("outside") <= LEAF)
-        compared.append(settle(_compare(many.where(ready), sketch, percent, coordinates, full), "pairs"))
+        # Dense nodes of one main component hold much the same sets: they are compared as one.
+        node = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
+        chosen = many.where(ready).withColumn("node", node).withColumn("root", F.lit(0)).withColumn("heap", F.lit(0))
+        compared.append(settle(_compare(chosen.drop("outside", "dense").distinct(), sketch, percent, coordinates, full), "pairs"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
