@@ -21,7 +21,7 @@ SINGLE_TASK_BYTES = 16 * 1024 * 1024
 def dense_index(df: DataFrame, key_cols: list[str] | tuple[str, ...], index_col: str = "idx",
                 start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Distinct ``key_cols`` of ``df`` numbered start, start+1, ... in key order."""
-    from medlattice.session import estimated_bytes
+    from medlattice.session import estimated_bytes, settle
 
     key_cols = list(key_cols)
     spark = df.sparkSession
@@ -35,14 +35,14 @@ def dense_index(df: DataFrame, key_cols: list[str] | tuple[str, ...], index_col:
         if small:
             w = Window.orderBy(*key_cols)
             return keys.select(*key_cols, (F.row_number().over(w) - 1 + start).cast("long").alias(index_col))
-    # An explicit partition count keeps AQE from re-splitting the range
-    # exchange, so both uses below read the same (reused) shuffle output.
+    # An explicit partition count keeps AQE from re-splitting the range exchange.
     ranged = keys.repartitionByRange(n, *[F.col(c).asc() for c in key_cols]).sortWithinPartitions(*key_cols)
     local = ranged.select(
         *key_cols,
         F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"),
     ).withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    local = settle(local)  # both branches below read the same partitions
     sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
@@ -59,10 +59,14 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descend
     by the partition id (local sums), add per-partition offsets from a
     table with one row per partition. Output columns ``cum_<col>``.
     """
+    from medlattice.session import settle
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    ranged = df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+    # Materialized once: two range exchanges would each sample bounds of their own,
+    # and the offsets would belong to other partitions than the local sums.
+    ranged = settle(df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id()))
     frame = Window.partitionBy("_pid").orderBy(key)
     if inclusive:
         frame = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
