@@ -52,7 +52,11 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest are of the base spans; ``spans`` has the accepted candidates as well."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+
+    def of(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    n = [of(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *n, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
 
