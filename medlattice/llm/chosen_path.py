@@ -4,14 +4,14 @@ A text's set is its distinct shingles of words. Every tree starts with all
 sets and branches recursively: a node picks minwise tokens (two coordinates
 of the sets' minhash signatures), and a set goes to the child named by its
 token at each of them. A node that is small, that holds few sets outside its
-main component, or most of which is one component, is compared exhaustively; the others branch on. Trees are independent and repeated until
+main component, or a good part of which is one component, is compared exhaustively; the others branch on. Trees are independent and repeated until
 the expected share of missed pairs at the threshold is below the target.
 
 To stay linear within groups of copies: equal sets are one class; each root's child first
 compares its sets with one pivot; links found so are joined into components, and afterwards nodes
 compare only sets of different components. In large nodes, sets most of whose shingles no other set there has are
-left out, as they cannot be alike enough to any. Candidates are filtered by 1-bit minwise sketches
-(allowance: 5.5 standard deviations), in large nodes also by their shingles while they are joined, and then confirmed on full sets.
+left out, as they cannot be alike enough to any; the others are compared by what parts them from the node's core, exactly.
+In small nodes, candidates are filtered by 1-bit minwise sketches (allowance: 5.5 standard deviations), and then confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -197,24 +197,78 @@ def _unique_shingles(sets: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.count("*").alias("unique")))
 
 
-def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: int, sets: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of a node's sets in different components that may be alike: a set outside the main component
-    with any other. Their overlap is at most what either shares with other sets, and their sketches are near;
-    given ``sets`` (of large nodes), their 31-bit shingle hashes overlap enough as well."""
+def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: int) -> DataFrame:
+    """Pairs (a, b) of a small node's sets in different components that may be alike: a set outside the main component
+    with any other. Their overlap is at most what either shares with other sets, and their sketches are near."""
     few = members.drop("root", "heap").join(sketch, "id")
-    if sets is not None:
-        few = few.join(sets.select("id", F.transform("shingles", lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("tokens")), "id")
     x, y = few.where("component != main").alias("x"), few.alias("y")
     most = F.least("x.shared", "y.shared")
     test = ((F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
             & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & _sketch_test(percent, coordinates, "x", "y"))
-    if sets is not None:
-        common = F.size(F.array_intersect("x.tokens", "y.tokens"))
-        test = test & (100 * common >= percent * (F.size("x.tokens") + F.size("y.tokens") - common - 2))
     return x.join(y, test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
+def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of large nodes, confirmed on full sets, without comparing all pairs.
+
+    A node's core is what more than half of its sets have (so at most twice the mean set's size), and d(X) is what a set X
+    and the core do not have in common. X and Y are linked if and only if
+        2 * (100 + percent) * |d(X) & d(Y)| >= f(X) + f(Y), where f(X) = (100 + percent) * |d(X)| - (100 - percent) * |X|.
+    The center is the set of least f. All sets are held against it; a set that is not linked with it
+    needs something of d in common with any set that it is linked with, and how much follows from f and the
+    center's f. So these sets are joined with the others on the rarest elements of d, as many as that leaves.
+    """
+    keep, lose = 100 + percent, 100 - percent
+    none = F.array().cast("array<long>")
+    sets = settle(members.select("node", "id", "component").distinct().join(full, "id"), "compared")
+    size = settle(sets.groupBy("node").agg(F.count("*").alias("members")), "sizes")
+    often = sets.select("node", F.explode("shingles").alias("token")).groupBy("node", "token").agg(F.count("*").alias("n")).where("n > 1")
+    core = settle(often.join(size, "node").where("2 * n > members").groupBy("node").agg(F.collect_list("token").alias("core")), "cores")
+    core_or_none = F.coalesce("core", none)
+    apart = sets.join(core, "node", "left").select(
+        "node", "id", "component", F.size("shingles").alias("n"),
+        F.concat(F.array_except("shingles", core_or_none), F.array_except(core_or_none, "shingles")).alias("diff"))
+    apart = settle(apart.withColumn("f", (keep * F.size("diff") - lose * F.col("n")).cast("long")), "differences")
+    least = apart.groupBy("node").agg(F.min(F.struct("f", "id")).alias("least")).select("node", F.col("least.id").alias("id"))
+    center = settle(apart.join(least, ["node", "id"]).select(
+        "node", F.struct("id", "component", "f", "diff").alias("center")), "centers")
+    held = apart.join(center, "node").withColumn(
+        "linked", 2 * keep * F.size(F.array_intersect("diff", "center.diff")) >= F.col("f") + F.col("center.f"))
+    held = settle(held.select(
+        "node", "id", "component", "f", "diff", "linked", F.col("center.id").alias("center"),
+        (~F.col("linked") & (F.col("component") != F.col("center.component"))).alias("probes"),
+        # what a set has in common with any set that it may be linked with, where either is not linked with the center
+        (F.floor((F.col("f") - F.col("center.f")) / (2 * keep)) + 1).alias("need"),
+        F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("center.f")) / (2 * keep))).alias("probe_need"),
+        (F.col("component") != F.col("center.component")).alias("other")), "held")
+    star = held.where("linked and other and id != center").select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b"))
+
+    own = ["node", "id", "component", "f", "need", "probe_need", "probes", "offers"]
+    rest = held.withColumn("offers", F.lit(True)).select(*own, F.transform("diff", lambda t: F.struct(F.lit(1).cast("long").alias("n"), t.alias("token"))).alias("useful"))
+    for _ in range(2):  # drop what no other set has, and sets that have too little left, which leaves still less
+        tokens = rest.select(*own, F.explode("useful.token").alias("token"))
+        useful = (tokens.groupBy("node", "token").agg(F.count("*").alias("n"), F.max("probes").alias("p"), F.max("offers").alias("o"))
+                  .where("n > 1 and p and o").select("node", "token", "n"))
+        rest = (tokens.join(useful, ["node", "token"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("useful"))
+                .withColumn("probes", F.col("probes") & (F.size("useful") >= F.col("probe_need")))
+                .withColumn("offers", F.col("offers") & (F.size("useful") >= F.col("need"))).where("probes or offers"))
+        rest = settle(rest.select(*own, "useful"), "rest")
+
+    def prefix(need: str):
+        first = F.slice("useful", F.lit(1), (F.size("useful") - F.col(need) + 1).cast("int"))
+        return F.explode(F.transform(first, lambda t: t["token"])).alias("token")
+
+    columns = ["node", "id", "component", "f", F.col("useful.token").alias("diff")]
+    x = rest.where("probes").select(*columns, prefix("probe_need")).alias("x")
+    y = rest.where("offers").select(*columns, prefix("need")).alias("y")
+    pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.token") == F.col("y.token"))
+                   & (F.col("x.component") != F.col("y.component"))
+                   & (2 * keep * F.size(F.array_intersect("x.diff", "y.diff")) >= F.col("x.f") + F.col("y.f")))
+    pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    return star.union(pairs)
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
                     recall: float = 0.999999) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per input row.
@@ -250,7 +304,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Below: only sets of different components are compared.
     nodes = (level.drop("a").join(components.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id")
              .select("node", "id", F.coalesce("component", "id").alias("component"), "n", "shared", "root", F.lit(1).alias("heap")))
-    compared = []
+    compared, links = [], [edges]
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
         many = members
@@ -269,11 +323,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     .withColumn("shared", F.col("n") - F.coalesce("unique", F.lit(0))).drop("unique")
                     .where(100 * F.col("shared") >= percent * F.col("n")))
             many = settle(_members(many), "members")
-        ready = F.lit(True) if depth == DEPTH else F.col("dense") | (F.col("outside") <= LEAF)
+        small = F.col("outside") <= LEAF
+        compared.append(settle(_compare(many.where(small), sketch, percent, coordinates), "pairs"))
+        many = many.where(~small)
+        ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
         node = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        chosen = many.where(ready).withColumn("node", node).withColumn("root", F.lit(0)).withColumn("heap", F.lit(0))
-        compared.append(settle(_compare(chosen.drop("outside", "dense").distinct(), sketch, percent, coordinates, full), "pairs"))
+        links.append(settle(_compare_by_difference(many.where(ready).withColumn("node", node), full, percent), "links"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
@@ -286,9 +342,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for c in compared[1:]:
         more = more.union(c)
     more = settle(more.distinct(), "pairs")
-    if not more.isEmpty():
-        edges = settle(edges.union(_confirm(more, texts, words, percent)), "links")
-        components = connected_components(edges)
+    links.append(_confirm(more, texts, words, percent))
+    every = links[0]
+    for found in links[1:]:
+        every = every.union(found)
+    components = connected_components(settle(every.distinct(), "links"))
 
     named = classes.select("s1", "s2", "id").join(components.withColumnRenamed("node", "id"), "id", "left").select(
         "s1", "s2", F.coalesce("component", "id").alias("component"))

@@ -98,6 +98,43 @@ def test_near(docs, empty, words, percent, leaf, monkeypatch):
     assert len(out) == docs.count() and chosen_path.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_near_clusters(spark, words, percent, monkeypatch):
+    """Large groups of near copies on both sides of the threshold, with edits that some share, in large nodes only."""
+    monkeypatch.setattr(chosen_path, "LEAF", 2)
+    rng = np.random.default_rng(7)
+    rows = []
+    for base in range(2):
+        tokens = _text(100 + base, 90).split()
+        for i in range(110):
+            own = list(tokens)
+            for place in rng.choice(90, size=rng.integers(0, 9), replace=False):
+                kind = rng.integers(4)
+                own[place] = f"new{rng.integers(10 ** 9)}" if kind < 2 else "shared" if kind == 2 else ""
+            rows.append((1000 * base + i * 7 % 110, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} for i, w in ((i, _words(t)) for i, t in rows)}
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    while moved := [(a, b) for a, b in links if label[a] != label[b]]:
+        for a, b in moved:
+            label[a] = label[b] = min(label[a], label[b])
+    assert len(set(label.values())) > 10
+    out = chosen_path.near_duplicates(df, words=words, percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in out} == label
+    # every link between different components, by difference alone and with no component known before
+    texts = df.withColumnRenamed("doc_id", "id")
+    full = chosen_path.full_sets(texts, words)
+    members = texts.selectExpr("id div 1000 AS node", "id", "id AS component")
+    found = {(r.a, r.b) for r in chosen_path._compare_by_difference(members, full, percent).collect()}
+    assert found <= set(links)
+    label = {i: i for i in sets}
+    while moved := [(a, b) for a, b in found if label[a] != label[b]]:
+        for a, b in moved:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {r.doc_id: r.component_id for r in out} == label
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
