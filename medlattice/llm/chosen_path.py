@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import mix64, settle, slices, word_hashes
+from medlattice.llm.common import merged, mix64, settle, slices, word_hashes
 from medlattice.llm.components import connected_components
 
 DEPTH = 5
@@ -73,9 +73,9 @@ def trees_for(threshold: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - keeps)))
 
 
-def signatures(flat: np.ndarray, offsets: np.ndarray, coordinates: int) -> np.ndarray:
+def signatures(flat: np.ndarray, offsets: np.ndarray, coordinates: int, seed: int = 20240607) -> np.ndarray:
     """Minhash values (uint32) of non-empty sets: sets x coordinates."""
-    rng = np.random.default_rng(20240607)
+    rng = np.random.default_rng(seed)
     a = rng.integers(1 << 62, size=coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(1 << 62, size=coordinates, dtype=np.uint64)
     out = np.empty((len(offsets) - 1, coordinates), np.uint32)
@@ -99,13 +99,13 @@ def _sketches(sig: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view("<i8")
 
 
-SETS = "id long, n_shingles long, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, keys array<long>, deep array<short>"
+SETS = "id long, n_shingles long, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, keys array<long>"
 
 
 def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
-    """(id, text) -> set size, 128-bit set hash, sketch, tokens of the first level and below."""
+    """(id, text) -> set size, 128-bit set hash, sketch, tokens of the first level."""
     roots = 2 * trees
-    coordinates = roots * (2 ** DEPTH - 1)
+    coordinates = max(roots, SKETCH_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,9 +137,8 @@ def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
                     batch.column(0).slice(a, b - a), pa.array(sizes),
                     spread(s1.view(np.int64), pa.int64()), spread(s2.view(np.int64), pa.int64()),
                     *[spread(np.ascontiguousarray(sketch[:, i]), pa.int64()) for i in range(4)],
-                    lists(sig[:, :roots].astype(np.int64), pa.int64()),
-                    lists(sig[:, roots:].astype(np.uint16).view(np.int16), pa.int16())],
-                    names=["id", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys", "deep"])
+                    lists(sig[:, :roots].astype(np.int64), pa.int64())],
+                    names=["id", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys"])
 
     return df.select("id", "text").mapInArrow(build, SETS)
 
@@ -159,6 +158,23 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
     return df.select("id", "text").mapInArrow(build, "id long, shingles array<long>")
 
 
+def deep_tokens(sets: DataFrame, coordinates: int) -> DataFrame:
+    """(id, shingles) -> (id, deep): 16-bit tokens of the levels below the first, of independent coordinates."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column(1).offsets.to_numpy().astype(np.int64)
+            flat = batch.column(1).values.to_numpy(zero_copy_only=False).view(np.uint64)
+            for a in range(0, len(batch), 1000):
+                n = min(1000, len(batch) - a)
+                sig = signatures(flat, offsets[a:a + n + 1], coordinates, 20250711).astype(np.uint16).view(np.int16)
+                at = pa.array(np.arange(n + 1, dtype=np.int32) * coordinates)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, n), pa.ListArray.from_arrays(at, pa.array(sig.reshape(-1)))], names=["id", "deep"])
+
+    return sets.select("id", "shingles").mapInArrow(build, "id long, deep array<short>")
+
+
 def _sketch_test(percent: int, coordinates: int, a: str, b: str):
     """Condition: the sketches differ in no more bits than those of a pair at the threshold do, with 5.5 standard deviations more."""
     n = min(SKETCH_BITS, coordinates)
@@ -172,8 +188,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     """The pairs (a, b) whose full sets are alike enough."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = settle(full_sets(texts.join(settle(ids, "ids"), "id", "left_semi"), words), "sets")
-    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    with_b = pairs.join(merged(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))), "b")
+    both = with_b.join(merged(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     return both.where(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
@@ -187,7 +203,7 @@ def _members(nodes: DataFrame) -> DataFrame:
           .select("node", (F.col("all") - F.col("top.n")).alias("outside"), F.col("top.component").alias("main"),
                   (F.col("top.n") * DENSE >= F.col("all")).alias("dense"))
           .where("outside > 0"))
-    return nodes.join(by, "node")
+    return nodes.join(merged(by), "node")
 
 
 def _unique_shingles(sets: DataFrame) -> DataFrame:
@@ -200,13 +216,13 @@ def _unique_shingles(sets: DataFrame) -> DataFrame:
 def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: int) -> DataFrame:
     """Pairs (a, b) of a small node's sets in different components that may be alike: a set outside the main component
     with any other. Their overlap is at most what either shares with other sets, and their sketches are near."""
-    few = members.drop("root", "heap").join(sketch, "id")
+    few = members.drop("root", "heap").join(merged(sketch), "id")
     x, y = few.where("component != main").alias("x"), few.alias("y")
     most = F.least("x.shared", "y.shared")
     test = ((F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
             & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & _sketch_test(percent, coordinates, "x", "y"))
-    return x.join(y, test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    return x.join(merged(y), test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
 def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -221,7 +237,7 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     """
     keep, lose = 100 + percent, 100 - percent
     none = F.array().cast("array<long>")
-    sets = settle(members.select("node", "id", "component").distinct().join(full, "id"), "compared")
+    sets = settle(members.select("node", "id", "component").distinct().join(merged(full), "id"), "compared")
     size = settle(sets.groupBy("node").agg(F.count("*").alias("members")), "sizes")
     often = sets.select("node", F.explode("shingles").alias("token")).groupBy("node", "token").agg(F.count("*").alias("n")).where("n > 1")
     core = settle(often.join(size, "node").where("2 * n > members").groupBy("node").agg(F.collect_list("token").alias("core")), "cores")
@@ -250,7 +266,7 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
         tokens = rest.select(*own, F.explode("useful.token").alias("token"))
         useful = (tokens.groupBy("node", "token").agg(F.count("*").alias("n"), F.max("probes").alias("p"), F.max("offers").alias("o"))
                   .where("n > 1 and p and o").select("node", "token", "n"))
-        rest = (tokens.join(useful, ["node", "token"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("useful"))
+        rest = (tokens.join(merged(useful), ["node", "token"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("useful"))
                 .withColumn("probes", F.col("probes") & (F.size("useful") >= F.col("probe_need")))
                 .withColumn("offers", F.col("offers") & (F.size("useful") >= F.col("need"))).where("probes or offers"))
         rest = settle(rest.select(*own, "useful"), "rest")
@@ -262,7 +278,7 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     columns = ["node", "id", "component", "f", F.col("useful.token").alias("diff")]
     x = rest.where("probes").select(*columns, prefix("probe_need")).alias("x")
     y = rest.where("offers").select(*columns, prefix("need")).alias("y")
-    pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.token") == F.col("y.token"))
+    pairs = x.join(merged(y), (F.col("x.node") == F.col("y.node")) & (F.col("x.token") == F.col("y.token"))
                    & (F.col("x.component") != F.col("y.component"))
                    & (2 * keep * F.size(F.array_intersect("x.diff", "y.diff")) >= F.col("x.f") + F.col("y.f")))
     pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
@@ -280,30 +296,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     trees = trees_for(percent / 100, recall)
     roots, below = 2 * trees, 2 ** DEPTH - 2
-    coordinates = roots * (2 ** DEPTH - 1)
+    coordinates = max(roots, SKETCH_BITS)
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = settle(set_rows(texts, words, trees), "sets")
     found = (sets.where("n_shingles > 0 and id is not null").groupBy("s1", "s2")
-             .agg(F.min(F.struct("id", "n_shingles", "b0", "b1", "b2", "b3", "keys", "deep")).alias("x")))
+             .agg(F.min(F.struct("id", "n_shingles", "b0", "b1", "b2", "b3", "keys")).alias("x")))
     classes = settle(found.select("s1", "s2", "x.*"), "classes")
     sketch = classes.select("id", "b0", "b1", "b2", "b3")
-    sizes = classes.select("id", F.col("n_shingles").alias("n"), F.col("n_shingles").alias("shared"))
 
     # First level: a node is a root's token. One pivot for each node.
-    level = classes.select("id", F.posexplode("keys").alias("root", "token")).select(
-        "id", "root", (F.col("root") * F.lit(1 << 32) + F.col("token")).alias("node"))
+    tokens = F.posexplode("keys").alias("root", "token")
+    node = (F.col("root") * F.lit(1 << 32) + F.col("token")).alias("node")
+    level = classes.select("id", tokens).select("id", node)
     pivots = level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1").drop("n")
-    level = settle(level.join(pivots, "node"), "level")
-    stars = level.where("id != a").select("a", F.col("id").alias("b")).distinct()
-    stars = (stars.alias("p").join(sketch.alias("x"), F.col("p.a") == F.col("x.id"))
-             .join(sketch.alias("y"), F.col("p.b") == F.col("y.id"))
+    stars = level.join(merged(pivots), "node").where("id != a").select("a", F.col("id").alias("b")).distinct()
+    stars = (stars.alias("p").join(merged(sketch.alias("x")), F.col("p.a") == F.col("x.id"))
+             .join(merged(sketch.alias("y")), F.col("p.b") == F.col("y.id"))
              .where(_sketch_test(percent, coordinates, "x", "y")).select("a", "b"))
     edges = settle(_confirm(settle(stars, "stars"), texts, words, percent), "links")
     components = connected_components(edges)
 
     # Below: only sets of different components are compared.
-    nodes = (level.drop("a").join(components.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id")
-             .select("node", "id", F.coalesce("component", "id").alias("component"), "n", "shared", "root", F.lit(1).alias("heap")))
+    known = merged(components.withColumnRenamed("node", "id"))
+    nodes = (classes.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("n_shingles").alias("n"), tokens)
+             .select(node, "id", "component", "n", F.col("n").alias("shared"), "root", F.lit(1).alias("heap")))
     compared, links = [], [edges]
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
@@ -319,7 +335,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ids = settle(many.select("id").distinct(), "ids")
             full = settle(full_sets(texts.join(ids, "id", "left_semi"), words), "sets")
             unique = settle(_unique_shingles(full), "unique")
-            many = (many.drop("outside", "main", "dense", "shared").join(unique, "id", "left")
+            many = (many.drop("outside", "main", "dense", "shared").join(merged(unique), "id", "left")
                     .withColumn("shared", F.col("n") - F.coalesce("unique", F.lit(0))).drop("unique")
                     .where(100 * F.col("shared") >= percent * F.col("n")))
             many = settle(_members(many), "members")
@@ -328,13 +344,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         many = many.where(~small)
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
-        node = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        links.append(settle(_compare_by_difference(many.where(ready).withColumn("node", node), full, percent), "links"))
+        pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
+        links.append(settle(_compare_by_difference(many.where(ready).withColumn("node", pooled), full, percent), "links"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
+        if depth == 1:
+            deep = settle(deep_tokens(full.join(settle(many.select("id").distinct(), "ids"), "id", "left_semi"), roots * below), "deep")
         child = F.explode(F.array(F.lit(0), F.lit(1)))
-        branched = (many.drop("outside", "main", "dense").join(classes.select("id", "deep"), "id")
+        branched = (many.drop("outside", "main", "dense").join(merged(deep), "id")
                     .withColumn("child", child).withColumn("heap", 2 * F.col("heap") + F.col("child")))
         token = F.element_at("deep", (F.col("root") * below + F.col("heap") - 1).cast("int"))
         nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "n", "shared", "root", "heap")
@@ -348,9 +366,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         every = every.union(found)
     components = connected_components(settle(every.distinct(), "links"))
 
-    named = classes.select("s1", "s2", "id").join(components.withColumnRenamed("node", "id"), "id", "left").select(
+    named = classes.select("s1", "s2", "id").join(merged(components.withColumnRenamed("node", "id")), "id", "left").select(
         "s1", "s2", F.coalesce("component", "id").alias("component"))
-    out = sets.select("id", "n_shingles", "s1", "s2").join(settle(named, "components"), ["s1", "s2"], "left")
+    out = sets.select("id", "n_shingles", "s1", "s2").join(merged(settle(named, "components")), ["s1", "s2"], "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))

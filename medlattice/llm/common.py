@@ -38,6 +38,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join by shuffles at every size. For tables that grow with the input: files of few
+    distinct values are small, so Spark would broadcast tables that are many times their size in memory."""
+    return df.hint("merge")
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import settle
+from medlattice.llm.common import merged, settle
 
 
 def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
@@ -20,12 +20,12 @@ def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     labels = settle(both.groupBy("a").agg(F.min("b").alias("least"))
                     .select(F.col("a").alias("node"), F.least("a", "least").alias("component")), "labels")
     for _ in range(rounds):
-        offered = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
+        offered = (both.join(merged(labels.select(F.col("node").alias("b"), "component")), "b")
                    .groupBy("a").agg(F.min("component").alias("offer")).withColumnRenamed("a", "node"))
-        hooked = settle(labels.join(offered, "node").select(
+        hooked = settle(labels.join(merged(offered), "node").select(
             "node", F.least("component", "offer").alias("component"), F.col("component").alias("was")), "hooked")
         parent = hooked.select(F.col("node").alias("up"), F.col("component").alias("up_component"))
-        jumped = settle(hooked.join(parent, F.col("component") == F.col("up"))
+        jumped = settle(hooked.join(merged(parent), F.col("component") == F.col("up"))
                         .select("node", F.least("component", "up_component").alias("component"), "was"), "labels")
         if jumped.where("component != was").isEmpty():
             return jumped.select("node", "component")
