@@ -271,17 +271,24 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
                 .withColumn("offers", F.col("offers") & (F.size("useful") >= F.col("need"))).where("probes or offers"))
         rest = settle(rest.select(*own, "useful"), "rest")
 
-    def prefix(need: str):
+    def prefix(need: str, role: str):
+        """Rows of the first elements, each with the number of elements from it on."""
         first = F.slice("useful", F.lit(1), (F.size("useful") - F.col(need) + 1).cast("int"))
-        return F.explode(F.transform(first, lambda t: t["token"])).alias("token")
+        return rest.where(role).select("node", "id", "component", "f", F.size("useful").alias("size"),
+                           F.posexplode(F.transform(first, lambda t: t["token"])).alias("place", "token"))
 
-    columns = ["node", "id", "component", "f", F.col("useful.token").alias("diff")]
-    x = rest.where("probes").select(*columns, prefix("probe_need")).alias("x")
-    y = rest.where("offers").select(*columns, prefix("need")).alias("y")
+    x, y = prefix("probe_need", "probes").alias("x"), prefix("need", "offers").alias("y")
+    # at the first element in common, no more than those from there on can be in common
+    most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     pairs = x.join(merged(y), (F.col("x.node") == F.col("y.node")) & (F.col("x.token") == F.col("y.token"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & (2 * keep * F.size(F.array_intersect("x.diff", "y.diff")) >= F.col("x.f") + F.col("y.f")))
-    pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+                   & (F.col("x.component") != F.col("y.component")) & (2 * keep * most >= F.col("x.f") + F.col("y.f")))
+    pairs = pairs.select(F.col("x.node").alias("node"), F.col("x.id").alias("a"), F.col("y.id").alias("b"),
+                         (F.col("x.f") + F.col("y.f")).alias("f")).distinct()
+    tokens = rest.select("node", "id", F.col("useful.token").alias("tokens"))
+    pairs = (pairs.join(merged(tokens.withColumnsRenamed({"id": "a", "tokens": "x"})), ["node", "a"])
+             .join(merged(tokens.withColumnsRenamed({"id": "b", "tokens": "y"})), ["node", "b"])
+             .where(2 * keep * F.size(F.array_intersect("x", "y")) >= F.col("f")))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return star.union(pairs)
 
 
@@ -307,9 +314,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # First level: a node is a root's token. One pivot for each node.
     tokens = F.posexplode("keys").alias("root", "token")
     node = (F.col("root") * F.lit(1 << 32) + F.col("token")).alias("node")
-    level = classes.select("id", tokens).select("id", node)
+    level = classes.select("id", tokens).select("id", "root", node)
     pivots = level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1").drop("n")
-    stars = level.join(merged(pivots), "node").where("id != a").select("a", F.col("id").alias("b")).distinct()
+    level = settle(level.join(merged(pivots), "node"), "level")
+    stars = level.where("id != a").select("a", F.col("id").alias("b")).distinct()
     stars = (stars.alias("p").join(merged(sketch.alias("x")), F.col("p.a") == F.col("x.id"))
              .join(merged(sketch.alias("y")), F.col("p.b") == F.col("y.id"))
              .where(_sketch_test(percent, coordinates, "x", "y")).select("a", "b"))
@@ -318,8 +326,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Below: only sets of different components are compared.
     known = merged(components.withColumnRenamed("node", "id"))
-    nodes = (classes.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("n_shingles").alias("n"), tokens)
-             .select(node, "id", "component", "n", F.col("n").alias("shared"), "root", F.lit(1).alias("heap")))
+    sizes = classes.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("n_shingles").alias("n"))
+    nodes = level.join(merged(sizes), "id").select("node", "id", "component", "n", F.col("n").alias("shared"), "root", F.lit(1).alias("heap"))
     compared, links = [], [edges]
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
