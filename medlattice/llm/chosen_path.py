@@ -228,8 +228,8 @@ def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: i
 def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components of large nodes, confirmed on full sets, without comparing all pairs.
 
-    A node's core is what more than half of its sets have (so at most twice the mean set's size), and d(X) is what a set X
-    and the core do not have in common. X and Y are linked if and only if
+    The core of a dense node is its set with the fewest shingles of its own (``lone``; of equal ones that of the smallest id),
+    and that of another is empty; d(X) is what a set X and the core do not have in common. X and Y are linked if and only if
         2 * (100 + percent) * |d(X) & d(Y)| >= f(X) + f(Y), where f(X) = (100 + percent) * |d(X)| - (100 - percent) * |X|.
     The center is the set of least f. All sets are held against it; a set that is not linked with it
     needs something of d in common with any set that it is linked with, and how much follows from f and the
@@ -237,10 +237,9 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     """
     keep, lose = 100 + percent, 100 - percent
     none = F.array().cast("array<long>")
-    sets = settle(members.select("node", "id", "component").distinct().join(merged(full), "id"), "compared")
-    size = settle(sets.groupBy("node").agg(F.count("*").alias("members")), "sizes")
-    often = sets.select("node", F.explode("shingles").alias("token")).groupBy("node", "token").agg(F.count("*").alias("n")).where("n > 1")
-    core = settle(often.join(size, "node").where("2 * n > members").groupBy("node").agg(F.collect_list("token").alias("core")), "cores")
+    sets = settle(members.select("node", "id", "component", "dense", "lone").distinct().join(merged(full), "id"), "compared")
+    best = sets.where("dense").groupBy("node").agg(F.min(F.struct("lone", "id")).alias("best")).select("node", F.col("best.id").alias("id"))
+    core = settle(sets.join(best, ["node", "id"]).select("node", F.col("shingles").alias("core")), "cores")
     core_or_none = F.coalesce("core", none)
     apart = sets.join(core, "node", "left").select(
         "node", "id", "component", F.size("shingles").alias("n"),
@@ -353,7 +352,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
         pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        links.append(settle(_compare_by_difference(many.where(ready).withColumn("node", pooled), full, percent), "links"))
+        chosen = many.where(ready).select(pooled.alias("node"), "id", "component", "dense", (F.col("n") - F.col("shared")).alias("lone"))
+        links.append(settle(_compare_by_difference(chosen, full, percent), "links"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
