@@ -237,7 +237,7 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     """
     keep, lose = 100 + percent, 100 - percent
     none = F.array().cast("array<long>")
-    sets = settle(members.select("node", "id", "component", "dense", "lone").distinct().join(merged(full), "id"), "compared")
+    sets = settle(members.select("node", "id", "component", "dense", "lone").distinct().join(full, "id"), "compared")
     best = sets.where("dense").groupBy("node").agg(F.min(F.struct("lone", "id")).alias("best")).select("node", F.col("best.id").alias("id"))
     core = settle(sets.join(best, ["node", "id"]).select("node", F.col("shingles").alias("core")), "cores")
     core_or_none = F.coalesce("core", none)
@@ -352,8 +352,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
         pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        chosen = many.where(ready).select(pooled.alias("node"), "id", "component", "dense", (F.col("n") - F.col("shared")).alias("lone"))
-        links.append(settle(_compare_by_difference(chosen, full, percent), "links"))
+        chosen = settle(many.where(ready).select(pooled.alias("node"), "id", "component", "dense", (F.col("n") - F.col("shared")).alias("lone"))
+                        .distinct(), "chosen")
+        if not chosen.isEmpty():
+            links.append(settle(_compare_by_difference(chosen, full, percent), "links"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
