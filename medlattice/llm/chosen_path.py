@@ -1,16 +1,15 @@
 """Near-duplicates by a chosen-path set similarity join.
 
 A text's set is its distinct shingles of words. Every tree starts with all
-sets and branches recursively: a node picks minwise tokens (two coordinates
-of the sets' minhash signatures), and a set goes to the child named by its
+sets and branches recursively by minwise tokens (coordinates of the sets' minhash signatures). The first node branches by HEAD
+tokens in a row, so that few sets meet by chance; a node below picks two tokens, and a set goes to the child named by its
 token at each of them. A node that is small, that holds few sets outside its
 main component, or a good part of which is one component, is compared exhaustively; the others branch on. Trees are independent and repeated until
 the expected share of missed pairs at the threshold is below the target.
 
-To stay linear within groups of copies: equal sets are one class; each root's child first
-compares its sets with one pivot; links found so are joined into components, and afterwards nodes
-compare only sets of different components. In large nodes, sets most of whose shingles no other set there has are
-left out, as they cannot be alike enough to any; the others are compared by what parts them from the node's core, exactly.
+To stay linear within groups of copies: equal sets are one class; each set is first held against the smallest id
+of one of its nodes, that which it shares most nodes with; links found so are joined into components, and afterwards nodes
+compare only sets of different components. In large nodes, sets are compared by what parts them from the node's core, exactly.
 In small nodes, candidates are filtered by 1-bit minwise sketches (allowance: 5.5 standard deviations), and then confirmed on full sets.
 """
 
@@ -28,9 +27,11 @@ from pyspark.sql import functions as F
 from medlattice.llm.common import merged, mix64, settle, slices, word_hashes
 from medlattice.llm.components import connected_components
 
-DEPTH = 5
+HEAD = 3
+DEPTH = 4
 LEAF = 32
 DENSE = 4
+CORE_OF = 15
 SKETCH_BITS = 256
 
 
@@ -66,10 +67,11 @@ def shingle_sets(texts: list, words: int) -> tuple[np.ndarray, np.ndarray]:
 @lru_cache(maxsize=None)
 def trees_for(threshold: float, recall: float) -> int:
     """How many trees keep the chance to miss a pair at the threshold below 1 - recall:
-    a pair survives a level if either child keeps it, DEPTH levels deep."""
+    a pair survives the first level if all of its HEAD tokens agree, and each below if either child keeps it."""
     keeps = 1.0
-    for _ in range(DEPTH):
+    for _ in range(DEPTH - 1):
         keeps = 1 - (1 - threshold * keeps) ** 2
+    keeps *= threshold ** HEAD
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - keeps)))
 
 
@@ -103,9 +105,8 @@ SETS = "id long, n_shingles long, s1 long, s2 long, b0 long, b1 long, b2 long, b
 
 
 def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
-    """(id, text) -> set size, 128-bit set hash, sketch, tokens of the first level."""
-    roots = 2 * trees
-    coordinates = max(roots, SKETCH_BITS)
+    """(id, text) -> set size, 128-bit set hash, sketch, node of the first level in each tree."""
+    coordinates = max(HEAD * trees, SKETCH_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,6 +121,9 @@ def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
                 s1 = np.add.reduceat(mix64(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts) if n else np.empty(0, np.uint64)
                 s2 = np.add.reduceat(mix64(flat + np.uint64(0x1234567887654321)), starts) if n else np.empty(0, np.uint64)
                 sketch = _sketches(sig)
+                keys = np.broadcast_to(np.arange(1, trees + 1, dtype=np.uint64), (n, trees))
+                for j in range(HEAD):
+                    keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, j * trees:(j + 1) * trees])
 
                 def spread(values, kind, full=full):
                     if len(full) == int(full.sum()):
@@ -137,7 +141,7 @@ def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
                     batch.column(0).slice(a, b - a), pa.array(sizes),
                     spread(s1.view(np.int64), pa.int64()), spread(s2.view(np.int64), pa.int64()),
                     *[spread(np.ascontiguousarray(sketch[:, i]), pa.int64()) for i in range(4)],
-                    lists(sig[:, :roots].astype(np.int64), pa.int64())],
+                    lists(keys.view(np.int64), pa.int64())],
                     names=["id", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys"])
 
     return df.select("id", "text").mapInArrow(build, SETS)
@@ -187,7 +191,7 @@ def _sketch_test(percent: int, coordinates: int, a: str, b: str):
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = settle(full_sets(texts.join(settle(ids, "ids"), "id", "left_semi"), words), "sets")
+    sets = settle(full_sets(texts.join(merged(settle(ids, "ids")), "id", "left_semi"), words), "sets")
     with_b = pairs.join(merged(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))), "b")
     both = with_b.join(merged(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -206,19 +210,12 @@ def _members(nodes: DataFrame) -> DataFrame:
     return nodes.join(merged(by), "node")
 
 
-def _unique_shingles(sets: DataFrame) -> DataFrame:
-    """(id, unique): how many of a set's shingles no other of the given sets has, where there are any."""
-    tokens = sets.select("id", F.explode("shingles").alias("shingle"))
-    return (tokens.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
-            .groupBy("id").agg(F.count("*").alias("unique")))
-
-
 def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: int) -> DataFrame:
     """Pairs (a, b) of a small node's sets in different components that may be alike: a set outside the main component
-    with any other. Their overlap is at most what either shares with other sets, and their sketches are near."""
-    few = members.drop("root", "heap").join(merged(sketch), "id")
+    with any other. Their sizes and their sketches are near."""
+    few = members.drop("tree", "heap").join(merged(sketch), "id")
     x, y = few.where("component != main").alias("x"), few.alias("y")
-    most = F.least("x.shared", "y.shared")
+    most = F.least("x.n", "y.n")
     test = ((F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
             & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & _sketch_test(percent, coordinates, "x", "y"))
@@ -228,8 +225,8 @@ def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: i
 def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components of large nodes, confirmed on full sets, without comparing all pairs.
 
-    The core of a dense node is its set with the fewest shingles of its own (``lone``; of equal ones that of the smallest id),
-    and that of another is empty; d(X) is what a set X and the core do not have in common. X and Y are linked if and only if
+    The core of a dense node is what most of up to CORE_OF of its sets, picked by hashed id, have in common, and that of another
+    is empty. Any core gives the same links; a good one leaves little of a set. d(X) is what a set X and the core do not have in common. X and Y are linked if and only if
         2 * (100 + percent) * |d(X) & d(Y)| >= f(X) + f(Y), where f(X) = (100 + percent) * |d(X)| - (100 - percent) * |X|.
     The center is the set of least f. All sets are held against it; a set that is not linked with it
     needs something of d in common with any set that it is linked with, and how much follows from f and the
@@ -237,9 +234,12 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     """
     keep, lose = 100 + percent, 100 - percent
     none = F.array().cast("array<long>")
-    sets = settle(members.select("node", "id", "component", "dense", "lone").distinct().join(full, "id"), "compared")
-    best = sets.where("dense").groupBy("node").agg(F.min(F.struct("lone", "id")).alias("best")).select("node", F.col("best.id").alias("id"))
-    core = settle(sets.join(best, ["node", "id"]).select("node", F.col("shingles").alias("core")), "cores")
+    sets = settle(members.select("node", "id", "component", "dense").distinct().join(full, "id"), "compared")
+    some = (sets.where("dense").groupBy("node", F.pmod(F.xxhash64("id"), F.lit(CORE_OF)).alias("part")).agg(F.min("id").alias("id")).drop("part"))
+    tokens = sets.join(some, ["node", "id"]).select("node", F.explode("shingles").alias("shingle"))
+    core = (tokens.groupBy("node", "shingle").agg(F.count("*").alias("times")).join(some.groupBy("node").agg(F.count("*").alias("of")), "node")
+            .where("2 * times > of").groupBy("node").agg(F.collect_list("shingle").alias("core")))
+    core = settle(core, "cores")
     core_or_none = F.coalesce("core", none)
     apart = sets.join(core, "node", "left").select(
         "node", "id", "component", F.size("shingles").alias("n"),
@@ -301,8 +301,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets, and is its own (component null, kept) where there are none. Empty table: no rows. Other columns are ignored.
     """
     trees = trees_for(percent / 100, recall)
-    roots, below = 2 * trees, 2 ** DEPTH - 2
-    coordinates = max(roots, SKETCH_BITS)
+    below = 2 ** DEPTH - 2
+    coordinates = max(HEAD * trees, SKETCH_BITS)
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = settle(set_rows(texts, words, trees), "sets")
     found = (sets.where("n_shingles > 0 and id is not null").groupBy("s1", "s2")
@@ -310,13 +310,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = settle(found.select("s1", "s2", "x.*"), "classes")
     sketch = classes.select("id", "b0", "b1", "b2", "b3")
 
-    # First level: a node is a root's token. One pivot for each node.
-    tokens = F.posexplode("keys").alias("root", "token")
-    node = (F.col("root") * F.lit(1 << 32) + F.col("token")).alias("node")
-    level = classes.select("id", tokens).select("id", "root", node)
+    # First level. Each set and the pivot that it shares most nodes with.
+    level = classes.select("id", F.posexplode("keys").alias("tree", "node"))
     pivots = level.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1").drop("n")
     level = settle(level.join(merged(pivots), "node"), "level")
-    stars = level.where("id != a").select("a", F.col("id").alias("b")).distinct()
+    stars = level.where("id != a").groupBy(F.col("id").alias("b"), "a").agg(F.count("*").alias("nodes"))
+    stars = stars.groupBy("b").agg(F.max(F.struct("nodes", F.bitwise_not("a").alias("a"))).alias("best")).select(F.bitwise_not("best.a").alias("a"), "b")
     stars = (stars.alias("p").join(merged(sketch.alias("x")), F.col("p.a") == F.col("x.id"))
              .join(merged(sketch.alias("y")), F.col("p.b") == F.col("y.id"))
              .where(_sketch_test(percent, coordinates, "x", "y")).select("a", "b"))
@@ -326,46 +325,34 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Below: only sets of different components are compared.
     known = merged(components.withColumnRenamed("node", "id"))
     sizes = classes.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("n_shingles").alias("n"))
-    nodes = level.join(merged(sizes), "id").select("node", "id", "component", "n", F.col("n").alias("shared"), "root", F.lit(1).alias("heap"))
+    nodes = level.join(merged(sizes), "id").select("node", "id", "component", "n", "tree", F.lit(1).alias("heap"))
     compared, links = [], [edges]
     for depth in range(1, DEPTH + 1):
         members = settle(_members(nodes), "members")
-        many = members
-        if depth == 1:
-            large = F.col("outside") > LEAF
-            compared.append(settle(_compare(members.where(~large), sketch, percent, coordinates), "pairs"))
-            many = members.where(large)
+        small = F.col("outside") <= LEAF
+        compared.append(settle(_compare(members.where(small), sketch, percent, coordinates), "pairs"))
+        many = members.where(~small)
         if many.isEmpty():
             break
         if depth == 1:
-            # Sets of large nodes: those with too few shingles in common with any other have no link there.
             ids = settle(many.select("id").distinct(), "ids")
-            full = settle(full_sets(texts.join(ids, "id", "left_semi"), words), "sets")
-            unique = settle(_unique_shingles(full), "unique")
-            many = (many.drop("outside", "main", "dense", "shared").join(merged(unique), "id", "left")
-                    .withColumn("shared", F.col("n") - F.coalesce("unique", F.lit(0))).drop("unique")
-                    .where(100 * F.col("shared") >= percent * F.col("n")))
-            many = settle(_members(many), "members")
-        small = F.col("outside") <= LEAF
-        compared.append(settle(_compare(many.where(small), sketch, percent, coordinates), "pairs"))
-        many = many.where(~small)
+            full = settle(full_sets(texts.join(merged(ids), "id", "left_semi"), words), "sets")
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
         pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        chosen = settle(many.where(ready).select(pooled.alias("node"), "id", "component", "dense", (F.col("n") - F.col("shared")).alias("lone"))
-                        .distinct(), "chosen")
+        chosen = settle(many.where(ready).select(pooled.alias("node"), "id", "component", "dense").distinct(), "chosen")
         if not chosen.isEmpty():
             links.append(settle(_compare_by_difference(chosen, full, percent), "links"))
         many = many.where(~ready)
         if depth == DEPTH or many.isEmpty():
             break
         if depth == 1:
-            deep = settle(deep_tokens(full.join(settle(many.select("id").distinct(), "ids"), "id", "left_semi"), roots * below), "deep")
+            deep = settle(deep_tokens(full.join(settle(many.select("id").distinct(), "ids"), "id", "left_semi"), trees * below), "deep")
         child = F.explode(F.array(F.lit(0), F.lit(1)))
         branched = (many.drop("outside", "main", "dense").join(merged(deep), "id")
                     .withColumn("child", child).withColumn("heap", 2 * F.col("heap") + F.col("child")))
-        token = F.element_at("deep", (F.col("root") * below + F.col("heap") - 1).cast("int"))
-        nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "n", "shared", "root", "heap")
+        token = F.element_at("deep", (F.col("tree") * below + F.col("heap") - 1).cast("int"))
+        nodes = branched.select(F.xxhash64("node", "heap", token).alias("node"), "id", "component", "n", "tree", "heap")
     more = compared[0]
     for c in compared[1:]:
         more = more.union(c)

@@ -125,7 +125,7 @@ def test_near_clusters(spark, words, percent, monkeypatch):
     # every link between different components, by difference alone and with no component known before
     texts = df.withColumnRenamed("doc_id", "id")
     full = chosen_path.full_sets(texts, words)
-    members = texts.selectExpr("id div 1000 AS node", "id", "id AS component", "id < 1000 AS dense", "0L AS lone")
+    members = texts.selectExpr("id div 1000 AS node", "id", "id AS component", "id < 1000 AS dense")
     found = {(r.a, r.b) for r in chosen_path._compare_by_difference(members, full, percent).collect()}
     assert found <= set(links)
     label = {i: i for i in sets}
