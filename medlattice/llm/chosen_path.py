@@ -32,6 +32,8 @@ DEPTH = 4
 LEAF = 32
 DENSE = 4
 CORE_OF = 15
+# Bitmaps of 32768 bits (4 KB) that texts are filtered by before they are shuffled: 4 MB at most, at every size.
+BITMAPS = 1024
 SKETCH_BITS = 256
 
 
@@ -162,6 +164,18 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
     return df.select("id", "text").mapInArrow(build, "id long, shingles array<long>")
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` with one of ``ids``. Only texts whose hashed id is marked in bitmaps of a fixed size are shuffled; the
+    join decides. With far more ids than bits, all texts are shuffled."""
+    marked = F.pmod(F.xxhash64("id"), F.lit(BITMAPS * 32768))
+    marks = (ids.select(marked.alias("mark")).groupBy(F.expr("mark div 32768").alias("part"))
+             .agg(F.bitmap_construct_agg(F.expr("mark % 32768")).alias("bits")))
+    octet = F.expr("int(conv(hex(substring(bits, int(mark % 32768 div 8) + 1, 1)), 16, 10))")
+    likely = (texts.withColumn("mark", marked).withColumn("part", F.expr("mark div 32768")).join(F.broadcast(marks), "part")
+              .where(F.getbit(octet, F.expr("int(mark % 8)")) == 1))
+    return likely.select(*texts.columns).join(merged(ids), "id", "left_semi")
+
+
 def deep_tokens(sets: DataFrame, coordinates: int) -> DataFrame:
     """(id, shingles) -> (id, deep): 16-bit tokens of the levels below the first, of independent coordinates."""
 
@@ -191,7 +205,7 @@ def _sketch_test(percent: int, coordinates: int, a: str, b: str):
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = settle(full_sets(texts.join(merged(settle(ids, "ids")), "id", "left_semi"), words), "sets")
+    sets = settle(full_sets(_texts_of(texts, settle(ids, "ids")), words), "sets")
     with_b = pairs.join(merged(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))), "b")
     both = with_b.join(merged(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -336,7 +350,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         if depth == 1:
             ids = settle(many.select("id").distinct(), "ids")
-            full = settle(full_sets(texts.join(merged(ids), "id", "left_semi"), words), "sets")
+            full = settle(full_sets(_texts_of(texts, ids), words), "sets")
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
         # Dense nodes of one main component hold much the same sets: they are compared as one.
         pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
