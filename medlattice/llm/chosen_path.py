@@ -165,7 +165,7 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
 
 
 def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` with one of ``ids``. Only texts whose hashed id is marked in bitmaps of a fixed size are shuffled; the
+    """The rows of ``texts`` with one of the distinct ``ids``. Only texts whose hashed id is marked in bitmaps of a fixed size are shuffled; the
     join decides. With far more ids than bits, all texts are shuffled."""
     marked = F.pmod(F.xxhash64("id"), F.lit(BITMAPS * 32768))
     marks = (ids.select(marked.alias("mark")).groupBy(F.expr("mark div 32768").alias("part"))
@@ -173,7 +173,7 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     octet = F.expr("int(conv(hex(substring(bits, int(mark % 32768 div 8) + 1, 1)), 16, 10))")
     likely = (texts.withColumn("mark", marked).withColumn("part", F.expr("mark div 32768")).join(F.broadcast(marks), "part")
               .where(F.getbit(octet, F.expr("int(mark % 8)")) == 1))
-    return likely.select(*texts.columns).join(merged(ids), "id", "left_semi")
+    return likely.select(*texts.columns).join(merged(ids), "id")  # not a semi-join, which Spark would move below the filter
 
 
 def deep_tokens(sets: DataFrame, coordinates: int) -> DataFrame:
