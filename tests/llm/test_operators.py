@@ -231,6 +231,29 @@ def test_personal_data(spark, empty):
     assert pii.find_personal_data(empty).count() == 0
 
 
+def test_personal_data_beyond_base(spark):
+    """Planted spans in formats that the base does not know are added; numbers without evidence are not."""
+    rng = np.random.default_rng(5)
+    rows, planted = [], {}
+
+    def number(n):
+        return str(rng.integers(10 ** (n - 1), 10 ** n))
+
+    for i in range(600):
+        a, b, c = number(3), number(3), number(4)
+        name = WORDS[i % 10] + number(2)
+        said = [("call me at ", f"{a} {b} {c}", "phone"), ("write to ", f"{name} (at) {name}.org", "email"), ("order ", number(12), None),
+                ("call ", f"+1 {a} {b} {c}", None), ("mail ", f"{name}@x.org", None), ("in the years ", "1990-2000", None)][i % 6]
+        before = f"{_text(i, 6)} {said[0]}"
+        rows.append((i, f"{before}{said[1]}, {_text(i, 4)}"))
+        planted[i] = {(said[2], len(before), len(before) + len(said[1]))} if said[2] else set()
+    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    added = {r.doc_id: set(map(tuple, r.spans)) - set(map(tuple, r.base)) for r in out}
+    assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in out)
+    right = sum(len(added[i] & planted[i]) for i in planted)
+    assert right >= 190 and sum(map(len, added.values())) - right <= 4
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (7, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     out = quality.grade_documents(docs, labels).toPandas()
