@@ -1,12 +1,15 @@
 """URL filtering by rules and by trust propagated over the link graph.
 
 Pages that an allow or block rule fits seed their host with trust or distrust (the share of the
-host's pages that the rules allow or block). Personalised PageRank carries trust along host edges and distrust
-against them; a host whose distrust exceeds its trust and a threshold is blocked.
+host's pages that the rules allow or block). Personalised PageRank carries trust along host edges. Distrust goes
+against them: a host takes the mean distrust of what it links to, so it does not fall with the number of other hosts
+that link there. A host whose distrust exceeds its trust and a threshold is blocked.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,32 +54,33 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             .groupBy("src", "dst").agg(F.count("*").alias("links")))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20, settle_every: int = 5) -> DataFrame:
-    """(host, kind, score) of personalised PageRank from ``seeds`` (host, kind, seed).
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, settle_every: int = 5) -> DataFrame:
+    """(host, kind, score) of scores walked along ``edges`` (kind, src, dst, share) from ``seeds`` (host, kind, seed).
 
-    ``edges`` (kind, src, dst, share): the shares of a source's outgoing edges sum to 1. A seed without
-    incoming edges scores its seed value. Rounds stop early once no score moves by more than 1e-6;
-    after ``rounds`` rounds a score is within damping**rounds of its limit, relative to the largest. State goes to the shared folder.
+    Of each kind, either the shares out of every host sum to 1 (personalised PageRank) or those into every host (mean over the
+    edges into it), so changes fade by ``damping`` (below 1) a round. A seed without incoming edges scores its seed value. Rounds
+    end once no score moves by more than ``tolerance`` (of itself, if above 1) in ``settle_every`` of them. State goes to the shared folder.
     """
+    if not 0 <= damping < 1:
+        raise ValueError("damping must be at least 0 and below 1")
     scores = seeds.select("host", "kind", F.col("seed").alias("score"))
     before = scores
-    for r in range(1, rounds + 1):
+    for r in count(1):
         sent = (edges.join(scores.withColumnRenamed("host", "src"), ["src", "kind"])
                 .select(F.col("dst").alias("host"), "kind", (F.col("score") * F.col("share") * damping).alias("score")))
         scores = (sent.union(seeds.select("host", "kind", F.col("seed").alias("score")))
                   .groupBy("host", "kind").agg(F.sum("score").alias("score")))
-        if r % settle_every == 0 or r == rounds:
+        if r % settle_every == 0:
             scores = settle(scores, "trust")
             moved = scores.join(before.withColumnRenamed("score", "was"), ["host", "kind"], "left").where(
-                F.abs(F.col("score") - F.coalesce("was", F.lit(0.0))) > 1e-6)
+                F.abs(F.col("score") - F.coalesce("was", F.lit(0.0))) > tolerance * F.greatest(F.lit(1.0), "score"))
             if moved.isEmpty():
-                break
+                return scores
             before = scores
-    return scores
 
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", html_col: str = "html",
-                damping: float = 0.85, rounds: int = 20) -> DataFrame:
+                damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """(host, trust, distrust) of every host that a seed reaches."""
     host, path = url_host(F.col(url_col)), url_path(F.col(url_col))
     _, verdict = matching_rule(F.col("host"), F.col("path"), rules)
@@ -91,24 +95,24 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: st
         scores = seeds.withColumnRenamed("seed", "score")
     else:
         out = edges.groupBy("src").agg(F.sum("links").alias("all"))
-        into = edges.groupBy("dst").agg(F.sum("links").alias("all"))
-        forward = edges.join(out, "src").select(F.lit("trust").alias("kind"), "src", "dst", (F.col("links") / F.col("all")).alias("share"))
-        reverse = edges.join(into, "dst").select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"),
-                                                 (F.col("links") / F.col("all")).alias("share"))
-        scores = propagate(seeds, settle(forward.union(reverse), "host-edges"), damping, rounds)
+        shares = edges.join(out, "src").withColumn("share", F.col("links") / F.col("all"))
+        forward = shares.select(F.lit("trust").alias("kind"), "src", "dst", "share")
+        reverse = shares.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
+        scores = propagate(seeds, settle(forward.union(reverse), "host-edges"), damping, tolerance)
     return scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
                                       F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-               threshold: float = 0.5, damping: float = 0.85, rounds: int = 20) -> DataFrame:
+               threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """(id, host, path, rule, verdict, trust, distrust), one row per input row.
 
     The verdict is that of the longest rule that fits. Without one, the page is blocked if its host's distrust is at
-    least ``threshold`` (a host whose pages are all blocked has 1) and above its trust. Null urls and urls without ``://``:
+    least ``threshold`` (a host whose pages are all blocked has 1 from them; one with only links to such hosts has ``damping``)
+    and above its trust. Null urls and urls without ``://``:
     empty host and path, allowed. Null html has no links. Empty table: no rows. Other columns are ignored.
     """
-    scores = host_scores(pages, rules, url_col, html_col, damping, rounds)
+    scores = host_scores(pages, rules, url_col, html_col, damping, tolerance)
     rows = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     joined = rows.join(settle(scores, "host-scores"), "host", "left")

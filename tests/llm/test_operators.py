@@ -272,6 +272,23 @@ def test_urls(spark):
     assert out[2].trust == pytest.approx(0.85) and out[7].distrust == pytest.approx(0.85)
 
 
+def test_url_farm(spark):
+    """Many hosts that link to one blocked host, and a chain of hosts to it, against the fixed point of numpy."""
+    links = {f"farm{i}.org": ["bad.net"] for i in range(100)} | {f"fair{i}.org": ["bad.net"] + ["fine.org"] * 9 for i in range(20)}
+    links |= {f"c{i}.org": [f"c{i + 1}.org"] for i in range(30)} | {"c30.org": ["c0.org", "bad.net"], "bad.net": ["c0.org"], "fine.org": []}
+    rows = [(i, f"http://{h}/fr/x", "".join(f'<a href="http://{d}/">x</a>' for d in out)) for i, (h, out) in enumerate(links.items())]
+    got = {r.host: r for r in url_trust.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()}
+    hosts = list(links)
+    a = np.zeros((len(hosts), len(hosts)))
+    for h, out in links.items():
+        for d in out:
+            a[hosts.index(h), hosts.index(d)] += 1 / len(out)
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * a, [float(h == "bad.net") for h in hosts])
+    assert [got[h].distrust for h in hosts] == pytest.approx(want.tolist(), abs=1e-5)
+    assert {h for h in hosts if got[h].verdict == "block"} == {h for h, w in zip(hosts, want) if w >= 0.5 or h == "bad.net"} >= {f"farm{i}.org" for i in range(100)}
+    assert got["fair3.org"].verdict == "allow"
+
+
 def test_warc(spark, tmp_path):
     big = "é" * 700
     rows = [(1, "http://a/", big), (2, None, big), (3, "u", "small"), (4, "u", "small"), (5, "x", None), (None, "y", "z")]
