@@ -261,7 +261,8 @@ def q_mlp_predictions(fx):
 @query("mortality_scores", None, ("M18", "K6", "D13"))
 def q_mortality_scores(fx):
     """Probability of death per validation/test subject from logistic
-    regression on the codes of their visit sequence (trained on train)."""
+    regression on the codes of their visit sequence (trained on train). A
+    subject without known codes has the zero vector."""
     train = fx.admissions.where(F.col("split") == "train").select("hadm_id")
     cmap = sequences.build_codemap(fx.diagnoses_icd.join(train, "hadm_id", "left_semi"))
     long_df = sequences.visit_sequence_long(fx.admissions, fx.diagnoses_icd, cmap)
@@ -270,9 +271,10 @@ def q_mortality_scores(fx):
               .groupBy("subject_id", "code_idx").agg(F.count(F.lit(1)).cast("double").alias("value")))
     vec = features.assemble_vectors(counts, n, key="subject_id", idx="code_idx", value="value")
     subj = long_df.select("subject_id", "split").distinct()
-    data = (subj.join(vec, "subject_id", "left")
+    none = array_to_vector(F.array_repeat(F.lit(0.0), n))
+    data = (subj.join(vec, "subject_id", "left").withColumn("features", F.coalesce("features", none))
             .join(sequences.subject_labels(fx.subject_mortality), "subject_id", "left")
-            .where(F.col("features").isNotNull()).withColumn("label", F.col("label").cast("double")))
+            .withColumn("label", F.col("label").cast("double")))
     model = models.logistic_regression(data.where(F.col("split") == "train"))
     scored = model.transform(data.where(F.col("split") != "train"))
     return scored.select("subject_id", "split", models.positive_probability(scored).alias("mortality"))

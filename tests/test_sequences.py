@@ -1,5 +1,7 @@
 import datetime as dt
 
+import duckdb
+
 from medlattice.operators import sequences
 
 D = dt.date
@@ -70,3 +72,13 @@ def test_settled_code_map_has_measured_size(spark):
     assert estimated_bytes(raw) > DEFAULT_BROADCAST_BYTES  # sized like its input
     settled = sequences.build_codemap(dx)
     assert estimated_bytes(settled) < 64 * 1024  # the measured size of a few dozen codes
+
+
+def test_mortality_scores_every_subject(spark):
+    """Each validation and test subject with a stay is scored, also without a known code."""
+    import __spark_entry__ as E
+
+    folder = "/root/testdata/sf0.01"
+    out = E.queries()["mortality_scores"](spark, folder).collect()
+    want = duckdb.sql(f"SELECT DISTINCT o_custkey FROM read_parquet('{folder}/orders.parquet') WHERE o_custkey % 10 > 6").fetchall()
+    assert sorted(r.subject_id for r in out) == sorted(x for x, in want) and all(0 < r.mortality < 1 for r in out)
