@@ -211,7 +211,7 @@ PLACED = "row long, sequence_id long, offset long, fill long"
 
 
 def _pack_groups(pieces: DataFrame, capacity: int, groups: int, turn: int) -> DataFrame:
-    """(row, length) packed in ``groups`` groups dealt by hash. Numbers: 2 bits of turn, 37 of group, 24 of bin."""
+    """(row, length) packed in ``groups`` groups dealt by hash. Numbers: 8 bits of turn, 31 of group, 24 of bin."""
 
     def pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches))
@@ -222,7 +222,7 @@ def _pack_groups(pieces: DataFrame, capacity: int, groups: int, turn: int) -> Da
         for k, content in enumerate(best_two_fit(lengths, capacity)):
             offset, fill = 0, int(lengths[content].sum())
             for i in content:
-                for x, v in zip(out, (int(rows[i]), turn << 61 | key[0].as_py() << 24 | k, offset, fill)):
+                for x, v in zip(out, (int(rows[i]), turn << 55 | key[0].as_py() << 24 | k, offset, fill)):
                     x.append(v)
                 offset += int(lengths[i])
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
@@ -232,28 +232,34 @@ def _pack_groups(pieces: DataFrame, capacity: int, groups: int, turn: int) -> Da
     return dealt.groupBy("group").applyInArrow(pack, PLACED)
 
 
-def pack_lengths(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 2048, rounds: int = 3) -> DataFrame:
+def pack_lengths(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 2048) -> DataFrame:
     """(row, length) with distinct rows -> (row, sequence_id, offset), in few sequences of at most ``capacity``.
 
-    After each round the pieces of bins filled below 99 % are dealt again; at most ``rounds`` rounds, the last of which
-    is kept as it is. Lengths must be 1..capacity. A piece as long as a sequence has a negative number, the others do not.
+    After each round the pieces of bins filled below 99 % are dealt again, until they were one group, or a round
+    saves no bin (their bins then stay as they were; 256 rounds at most). Lengths must be 1..capacity. A piece as long as a
+    sequence has a negative number, the others do not.
     """
-    if not 1 <= rounds <= 3:
-        raise ValueError("rounds must be 1 to 3")
     full = pieces.where(F.col("length") == capacity).select(
         "row", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, open_ = [full], pieces.where(F.col("length") < capacity)
-    for r in range(rounds):
-        n = open_.count()
-        groups = max(1, -(-n // group_pieces))
+    poor = poor_bins = None
+    good = F.col("fill") * 100 >= capacity * 99
+    for r in range(256):
+        groups = max(1, -(-open_.count() // group_pieces))
         placed = settle(_pack_groups(open_, capacity, groups, r), "placed")
-        last = r == rounds - 1 or groups == 1
-        if last:
-            done.append(placed.drop("fill"))
+        # each bin has one piece at its start
+        bins, good_bins = placed.where("offset = 0").agg(F.count("*"), F.count_if(good)).first()
+        if poor is not None and bins >= poor_bins:
+            break
+        if groups == 1:
+            poor = placed
             break
-        good = F.col("fill") * 100 >= capacity * 99
         done.append(placed.where(good).drop("fill"))
-        open_ = settle(placed.where(~good).select("row").join(pieces, "row"), "open")
+        poor, poor_bins = placed.where(~good), bins - good_bins
+        if not poor_bins:
+            break
+        open_ = settle(poor.select("row").join(pieces, "row"), "open")
+    done.append(poor.drop("fill"))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

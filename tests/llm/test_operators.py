@@ -170,6 +170,18 @@ def test_best_two_fit():
     assert len(bins) <= len(first_fit) * 1.02 + 1
 
 
+def test_pieces_are_dealt_until_nothing_is_saved(spark):
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(1, 100, size=3000)
+    pieces = spark.createDataFrame(list(enumerate(lengths.tolist())), "row long, length long")
+    out = packing.pack_lengths(pieces, 100, group_pieces=16).join(pieces, "row").toPandas()
+    assert sorted(out.row) == list(range(3000))
+    for _, g in out.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g.length.sum() <= 100 and g.offset.tolist() == [0, *g.length.cumsum()[:-1]]
+    assert out.sequence_id.nunique() <= len(packing.best_two_fit(lengths, 100)) * 1.03
+
+
 def test_mixing(docs, empty):
     out = mixing.mix_sources(docs, [5, 2, 1]).toPandas()
     size = {s: sum(len(_words(r.text)) for r in docs.collect() if r.source == s) for s in ("a", "b", "c", None)}
