@@ -2,9 +2,8 @@
 
 ``row_number().over(Window.orderBy(k))`` moves every key to one task. Here
 the distinct keys are range-partitioned and sorted inside each partition;
-each partition numbers its rows locally, a table with one row per
-partition (bounded by the partition count, so it is safe to broadcast)
-holds the running offsets, and index = offset + local position.
+each partition numbers its rows locally, one count per partition gives
+the running offsets, and index = offset + local position.
 """
 
 from __future__ import annotations
@@ -13,41 +12,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Key sets whose size estimate (an upper bound) is below this are numbered
-# by one task; anything larger takes the range-partitioned path.
-SINGLE_TASK_BYTES = 16 * 1024 * 1024
-
-
 def dense_index(df: DataFrame, key_cols: list[str] | tuple[str, ...], index_col: str = "idx",
                 start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Distinct ``key_cols`` of ``df`` numbered start, start+1, ... in key order."""
-    from medlattice.session import estimated_bytes, settle
+    """Distinct ``key_cols`` of ``df`` numbered start, start+1, ... in key order.
+
+    One path at every size. The sorted ranges are settled once (the result is a
+    projection of that one cached table, so callers need not settle it again and
+    size checks see its measured size); the driver reads one count per range.
+    """
+    from medlattice.session import settle
 
     key_cols = list(key_cols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*key_cols).dropna(how="any").distinct()
-    if num_partitions is None:
-        try:
-            small = estimated_bytes(keys) <= SINGLE_TASK_BYTES
-        except Exception:  # noqa: BLE001 - statistics unavailable
-            small = False
-        if small:
-            w = Window.orderBy(*key_cols)
-            return keys.select(*key_cols, (F.row_number().over(w) - 1 + start).cast("long").alias(index_col))
     # An explicit partition count keeps AQE from re-splitting the range exchange.
     ranged = keys.repartitionByRange(n, *[F.col(c).asc() for c in key_cols]).sortWithinPartitions(*key_cols)
-    local = ranged.select(
+    local = settle(ranged.select(
         *key_cols,
         F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"),
-    ).withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    local = settle(local)  # both branches below read the same partitions
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .select(*key_cols, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long").alias(index_col)))
+    ).select(*key_cols, "_pid", (F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)).alias("_pos")))
+    before, offsets = start, {}
+    for pid, count in sorted(local.groupBy("_pid").count().collect()):
+        offsets[pid] = before
+        before += count
+    first = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets, default=0) + 1)])
+    return local.select(*key_cols, (F.element_at(first, F.col("_pid") + 1) + F.col("_pos")).cast("long").alias(index_col))
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,

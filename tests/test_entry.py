@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from medlattice.plans import REGISTRY
 from medlattice.sources.tables import TABLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -17,8 +18,8 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    for name in E.queries():
-        assert "pipeline" not in name and not name.startswith("op")
+    assert set(REGISTRY) <= set(E.queries())
+    assert {name for name, spec in REGISTRY.items() if spec.oracle} <= set(E.oracle_sql())
 
 
 def _norm(v):
@@ -37,7 +38,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted({name for name, spec in REGISTRY.items() if spec.oracle} - SLOW))
 def test_oracle_matches_small(spark, con, name):
     sdf = E.queries()[name](spark, SMALL).toPandas()
     odf = con.execute(E.oracle_sql()[name]).df()

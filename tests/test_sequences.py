@@ -61,17 +61,17 @@ def test_multi_hot_visits_from_stays_match_long_form(spark):
     assert via_sets == via_long == [(1, 1, 1), (1, 3, 0), (1, 3, 2), (2, 1, 1)]
 
 
-def test_settled_code_map_has_measured_size(spark):
+def test_code_map_is_settled_once_with_its_measured_size(spark):
     from conftest import SMALL
-    from medlattice.operators.indexing import dense_index
     from medlattice.plans.registry import Fixture
-    from medlattice.session import DEFAULT_BROADCAST_BYTES, estimated_bytes
+    from medlattice.session import estimated_bytes
 
     dx = Fixture(spark, SMALL).diagnoses_icd
-    raw = dense_index(dx.select(sequences.icd9_main_digits("icd9").alias("code")), ["code"], "code_idx")
-    assert estimated_bytes(raw) > DEFAULT_BROADCAST_BYTES  # sized like its input
-    settled = sequences.build_codemap(dx)
-    assert estimated_bytes(settled) < 64 * 1024  # the measured size of a few dozen codes
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    codes = sequences.build_codemap(dx)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before + 1
+    assert estimated_bytes(codes) < 64 * 1024  # the measured size of a few dozen codes
+    assert sorted(r.code_idx for r in codes.collect()) == list(range(codes.count()))
 
 
 def test_mortality_scores_every_subject(spark):
