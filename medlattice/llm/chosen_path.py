@@ -21,10 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import merged, mix64, settle, slices, word_hashes
+from medlattice.llm.common import merged, mix64, settle, text_slices, word_hashes
 from medlattice.llm.components import connected_components
 
 HEAD = 3
@@ -35,6 +35,8 @@ CORE_OF = 15
 # Bitmaps of 32768 bits (4 KB) that texts are filtered by before they are shuffled: 4 MB at most, at every size.
 BITMAPS = 1024
 SKETCH_BITS = 256
+# A bitmap of 512 KB, at every size: which hashed elements occur twice or more in a node.
+REPEATED_BITS = 22
 
 
 def shingle_sets(texts: list, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,18 +105,19 @@ def _sketches(sig: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view("<i8")
 
 
-SETS = "id long, n_shingles long, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, keys array<long>"
+# Rows without an id are documents of their own, named above all ids by their text.
+NAMELESS = 1 << 62
+SETS = "id long, own long, n_shingles long, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, keys array<long>"
 
 
 def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
-    """(id, text) -> set size, 128-bit set hash, sketch, node of the first level in each tree."""
+    """(id, text, own) -> own, set size, 128-bit set hash, sketch, node of the first level in each tree."""
     coordinates = max(HEAD * trees, SKETCH_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                flat, offsets = shingle_sets(texts[a:b], words)
+            for a, texts in text_slices(batch.column(1)):
+                flat, offsets = shingle_sets(texts, words)
                 sizes = np.diff(offsets)
                 full = sizes > 0
                 n = int(full.sum())
@@ -140,13 +143,13 @@ def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
                     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(matrix).reshape(-1), kind))
 
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(sizes),
+                    batch.column(0).slice(a, len(texts)), batch.column(2).slice(a, len(texts)), pa.array(sizes),
                     spread(s1.view(np.int64), pa.int64()), spread(s2.view(np.int64), pa.int64()),
                     *[spread(np.ascontiguousarray(sketch[:, i]), pa.int64()) for i in range(4)],
                     lists(keys.view(np.int64), pa.int64())],
-                    names=["id", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys"])
+                    names=["id", "own", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys"])
 
-    return df.select("id", "text").mapInArrow(build, SETS)
+    return df.select("id", "text", "own").mapInArrow(build, SETS)
 
 
 def full_sets(df: DataFrame, words: int) -> DataFrame:
@@ -154,11 +157,10 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                flat, offsets = shingle_sets(texts[a:b], words)
+            for a, texts in text_slices(batch.column(1)):
+                flat, offsets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))],
+                    [batch.column(0).slice(a, len(texts)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))],
                     names=["id", "shingles"])
 
     return df.select("id", "text").mapInArrow(build, "id long, shingles array<long>")
@@ -236,20 +238,77 @@ def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: i
     return x.join(merged(y), test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
+def _pooled(nodes: DataFrame) -> DataFrame:
+    """(node, id, component) with the nodes that are connected by common sets as one: a set is in one of them only."""
+    pivot = nodes.groupBy("node").agg(F.min("id").alias("b"))
+    met = settle(nodes.join(merged(pivot), "node").select(F.col("id").alias("a"), "b").distinct(), "met")
+    pools = connected_components(met).select(F.col("node").alias("id"), F.xxhash64(F.lit("pool"), "component").alias("node"))
+    return nodes.select("id", "component").distinct().join(merged(pools), "id").select("node", "id", "component")
+
+
+def _slots(nodes: pa.Array, lists: pa.ListArray) -> np.ndarray:
+    """The bitmap's slot of each (node, element)."""
+    own = np.repeat(nodes.to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return (mix64(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) + own) >> np.uint64(64 - REPEATED_BITS)).astype(np.int64)
+
+
+def _repeated_only(sets: DataFrame) -> DataFrame:
+    """``sets`` without the elements of ``diff`` that surely no other set of the node has. Each task marks the slots that it has seen once and twice;
+    these bitmaps merge by blocks. With far more elements than slots, more elements stay."""
+    blocks, size = 64, 1 << REPEATED_BITS
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(size, bool), np.zeros(size, bool)
+        for batch in batches:
+            slot, n = np.unique(_slots(batch.column(0), batch.column(1)), return_counts=True)
+            twice[slot] |= once[slot] | (n > 1)
+            once[slot] = True
+        bits = [[b.tobytes() for b in np.packbits(x).reshape(blocks, -1)] for x in (once, twice)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(blocks, dtype=np.int32)), pa.array(bits[0]), pa.array(bits[1])], names=["block", "once", "twice"])
+
+    def merge(block: pa.Table) -> pa.Table:
+        once, twice = np.zeros(size // blocks // 8, np.uint8), np.zeros(size // blocks // 8, np.uint8)
+        for x, y in zip(block["once"].to_pylist(), block["twice"].to_pylist()):
+            x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            twice |= y | (once & x)
+            once |= x
+        return pa.table({"block": block["block"][:1], "twice": pa.array([twice.tobytes()])})
+
+    marked = sets.select("node", "diff").mapInArrow(mark, "block int, once binary, twice binary").groupBy("block").applyInArrow(merge, "block int, twice binary")
+    twice = np.zeros(size // 8, np.uint8).reshape(blocks, -1)
+    for r in marked.collect():
+        twice[r["block"]] = np.frombuffer(r["twice"], np.uint8)
+    shared = sets.sparkSession.sparkContext.broadcast(twice.reshape(-1))
+    names = sets.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            diff = batch.column(names.index("diff"))
+            stays = seen[_slots(batch.column(names.index("node")), diff)]
+            ends = np.concatenate([[0], np.cumsum(diff.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(stays)])[ends].astype(np.int32)
+            short = pa.ListArray.from_arrays(pa.array(ends), diff.flatten().filter(pa.array(stays)))
+            yield pa.RecordBatch.from_arrays([short if c == "diff" else batch.column(i) for i, c in enumerate(names)], names=names)
+
+    return sets.mapInArrow(keep, sets.schema)
+
+
 def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components of large nodes, confirmed on full sets, without comparing all pairs.
 
-    The core of a dense node is what most of up to CORE_OF of its sets, picked by hashed id, have in common, and that of another
-    is empty. Any core gives the same links; a good one leaves little of a set. d(X) is what a set X and the core do not have in common. X and Y are linked if and only if
+    The core of a node is what most of up to CORE_OF of its sets, picked by hashed id, have in common (a passage that
+    many documents share, for one). Any core gives the same links; a good one leaves little of a set. d(X) is what a set X and the core do not have in common. X and Y are linked if and only if
         2 * (100 + percent) * |d(X) & d(Y)| >= f(X) + f(Y), where f(X) = (100 + percent) * |d(X)| - (100 - percent) * |X|.
     The center is the set of least f. All sets are held against it; a set that is not linked with it
     needs something of d in common with any set that it is linked with, and how much follows from f and the
-    center's f. So these sets are joined with the others on the rarest elements of d, as many as that leaves.
+    center's f. Elements that no other set has are dropped by a bitmap, and sets that are left with too little of d.
+    The rest are joined with the others on the rarest elements of d, as many as the need leaves.
     """
     keep, lose = 100 + percent, 100 - percent
     none = F.array().cast("array<long>")
-    sets = settle(members.select("node", "id", "component", "dense").distinct().join(full, "id"), "compared")
-    some = (sets.where("dense").groupBy("node", F.pmod(F.xxhash64("id"), F.lit(CORE_OF)).alias("part")).agg(F.min("id").alias("id")).drop("part"))
+    sets = settle(members.select("node", "id", "component").distinct().join(full, "id"), "compared")
+    some = (sets.groupBy("node", F.pmod(F.xxhash64("id"), F.lit(CORE_OF)).alias("part")).agg(F.min("id").alias("id")).drop("part"))
     tokens = sets.join(some, ["node", "id"]).select("node", F.explode("shingles").alias("shingle"))
     core = (tokens.groupBy("node", "shingle").agg(F.count("*").alias("times")).join(some.groupBy("node").agg(F.count("*").alias("of")), "node")
             .where("2 * times > of").groupBy("node").agg(F.collect_list("shingle").alias("core")))
@@ -268,21 +327,26 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
         "node", "id", "component", "f", "diff", "linked", F.col("center.id").alias("center"),
         (~F.col("linked") & (F.col("component") != F.col("center.component"))).alias("probes"),
         # what a set has in common with any set that it may be linked with, where either is not linked with the center
-        (F.floor((F.col("f") - F.col("center.f")) / (2 * keep)) + 1).alias("need"),
+        F.greatest(F.floor((F.col("f") - F.col("center.f")) / (2 * keep)) + 1, F.ceil((F.col("f") + F.col("center.f")) / (2 * keep))).alias("need"),
         F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("center.f")) / (2 * keep))).alias("probe_need"),
         (F.col("component") != F.col("center.component")).alias("other")), "held")
     star = held.where("linked and other and id != center").select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b"))
 
     own = ["node", "id", "component", "f", "need", "probe_need", "probes", "offers"]
-    rest = held.withColumn("offers", F.lit(True)).select(*own, F.transform("diff", lambda t: F.struct(F.lit(1).cast("long").alias("n"), t.alias("token"))).alias("useful"))
-    for _ in range(2):  # drop what no other set has, and sets that have too little left, which leaves still less
-        tokens = rest.select(*own, F.explode("useful.token").alias("token"))
-        useful = (tokens.groupBy("node", "token").agg(F.count("*").alias("n"), F.max("probes").alias("p"), F.max("offers").alias("o"))
-                  .where("n > 1 and p and o").select("node", "token", "n"))
-        rest = (tokens.join(merged(useful), ["node", "token"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("useful"))
-                .withColumn("probes", F.col("probes") & (F.size("useful") >= F.col("probe_need")))
-                .withColumn("offers", F.col("offers") & (F.size("useful") >= F.col("need"))).where("probes or offers"))
-        rest = settle(rest.select(*own, "useful"), "rest")
+
+    def able(sets: DataFrame) -> DataFrame:
+        return (sets.withColumn("probes", F.col("probes") & (F.size("diff") >= F.col("probe_need")))
+                .withColumn("offers", F.col("offers") & (F.size("diff") >= F.col("need"))).where("probes or offers"))
+
+    rest = able(held.withColumn("offers", F.lit(True)).select(*own, "diff"))
+    rest = able(_repeated_only(rest))
+    tokens = settle(rest.select(*own, F.explode("diff").alias("token")), "tokens")
+    useful = (tokens.groupBy("node", "token").agg(F.count("*").alias("n"), F.max("probes").alias("p"), F.max("offers").alias("o"))
+              .where("n > 1 and p and o").select("node", "token", "n"))
+    rest = (tokens.join(merged(useful), ["node", "token"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("useful"))
+            .withColumn("probes", F.col("probes") & (F.size("useful") >= F.col("probe_need")))
+            .withColumn("offers", F.col("offers") & (F.size("useful") >= F.col("need"))).where("probes or offers"))
+    rest = settle(rest.select(*own, "useful"), "rest")
 
     def prefix(need: str, role: str):
         """Rows of the first elements, each with the number of elements from it on."""
@@ -305,21 +369,35 @@ def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) ->
     return star.union(pairs)
 
 
+def _document(id_col: str, text_col: str) -> Column:
+    own = F.col(id_col).cast("long")
+    named = F.when(own < NAMELESS, own).otherwise(F.raise_error(F.lit("ids must be below 2**62")).cast("long"))
+    return F.when(own.isNull(), F.lit(NAMELESS) + F.pmod(F.xxhash64(text_col), F.lit(NAMELESS // 2))).otherwise(named)
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
                     recall: float = 0.999999) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per input row.
 
     Sets with 100 * |A & B| >= percent * |A | B| are linked; component_id is the smallest id that links reach, and a row is
     kept if it has that id. Null, empty or blank texts have no set and are linked with nothing. Rows that
-    share an id are one document for linking. A row with a null id joins the component of equal
-    sets, and is its own (component null, kept) where there are none. Empty table: no rows. Other columns are ignored.
+    share an id are one document for linking. Rows with a null id are linked like others, and never kept where links reach a row with an id;
+    of linked texts that all lack ids one is kept, with its repeated rows (component null). Empty table: no rows. Other columns are ignored.
     """
+    found = _components(df.select(_document(id_col, text_col).alias("id"), F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text")),
+                        words, percent, recall)
+    return found.select(F.col("own").alias(id_col), "n_shingles", F.when(F.col("component") < NAMELESS, F.col("component")).alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
+
+
+def _components(rows: DataFrame, words: int, percent: int, recall: float) -> DataFrame:
+    """(id, own, text) -> (id, own, n_shingles, component), the smallest id that links reach."""
     trees = trees_for(percent / 100, recall)
     below = 2 ** DEPTH - 2
     coordinates = max(HEAD * trees, SKETCH_BITS)
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = settle(set_rows(texts, words, trees), "sets")
-    found = (sets.where("n_shingles > 0 and id is not null").groupBy("s1", "s2")
+    texts = rows.select("id", "text")
+    sets = settle(set_rows(rows, words, trees), "sets")
+    found = (sets.where("n_shingles > 0").groupBy("s1", "s2")
              .agg(F.min(F.struct("id", "n_shingles", "b0", "b1", "b2", "b3", "keys")).alias("x")))
     classes = settle(found.select("s1", "s2", "x.*"), "classes")
     sketch = classes.select("id", "b0", "b1", "b2", "b3")
@@ -352,9 +430,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ids = settle(many.select("id").distinct(), "ids")
             full = settle(full_sets(_texts_of(texts, ids), words), "sets")
         ready = F.lit(True) if depth == DEPTH else F.col("dense")
-        # Dense nodes of one main component hold much the same sets: they are compared as one.
-        pooled = F.when(F.col("dense"), F.xxhash64(F.lit("main"), "main")).otherwise(F.col("node"))
-        chosen = settle(many.where(ready).select(pooled.alias("node"), "id", "component", "dense").distinct(), "chosen")
+        # Dense nodes of one main component hold much the same sets: they are compared as one. So are the last nodes that share sets.
+        chosen = many.where("dense").select(F.xxhash64(F.lit("main"), "main").alias("node"), "id", "component")
+        if depth == DEPTH:
+            chosen = chosen.union(_pooled(many.where("not dense")))
+        chosen = settle(chosen.distinct(), "chosen")
         if not chosen.isEmpty():
             links.append(settle(_compare_by_difference(chosen, full, percent), "links"))
         many = many.where(~ready)
@@ -379,15 +459,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     named = classes.select("s1", "s2", "id").join(merged(components.withColumnRenamed("node", "id")), "id", "left").select(
         "s1", "s2", F.coalesce("component", "id").alias("component"))
-    out = sets.select("id", "n_shingles", "s1", "s2").join(merged(settle(named, "components")), ["s1", "s2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+    out = sets.select("id", "own", "n_shingles", "s1", "s2").join(merged(settle(named, "components")), ["s1", "s2"], "left")
+    return out.select("id", "own", "n_shingles", F.coalesce("component", "id").alias("component"))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
                          recall: float = 0.999999) -> DataFrame:
     """The rows of ``df`` that stay, one document of each group, with all their columns."""
-    judged = near_duplicates(df, id_col, text_col, words, percent, recall)
-    lost = settle(judged.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__lost")).distinct(), "lost")
-    return df.join(lost, df[id_col] == lost["__lost"], "left_anti")
+    document = _document(id_col, text_col)
+    rows = df.select(document.alias("id"), F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text"))
+    lost = settle(_components(rows, words, percent, recall).where("id != component").select("id").distinct(), "lost")
+    name = "__document" + "_" * max((len(c) for c in df.columns), default=0)
+    return df.withColumn(name, document).join(lost.withColumnRenamed("id", name), name, "left_anti").select(*df.columns)

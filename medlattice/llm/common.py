@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlattice.session import ensure_checkpoint_dir
 
 _BASE = 0x2545F4914F6CDD1D
+# Freeing one large block raises the C library's bounds from which it returns each array's memory to the system.
+np.empty(16 << 20, np.uint8)
 _powers: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 # Words are runs of anything but the six ASCII white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -63,6 +68,18 @@ def slices(texts: list, max_chars: int = 2_000_000):
         yield start, len(texts)
 
 
+def text_slices(column: pa.Array, most_bytes: int = 1 << 18) -> Iterator[tuple[int, list]]:
+    """(start, texts) of consecutive rows of a string array, of about ``most_bytes`` each; a longer text comes alone. Only
+    one slice at a time is turned into Python strings, so a task's memory follows the Arrow batch and the longest text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(column):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+        yield start, column.slice(start, end - start).to_pylist()
+        start = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finalizer (xor-shift multiply)."""
     x = x ^ (x >> np.uint64(32))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import mix64, settle, slices
+from medlattice.llm.common import mix64, settle, text_slices
 
 UNDETERMINED = "und"
 SIZES = (3, 4)
@@ -142,11 +142,11 @@ def fit_language_filter(df: DataFrame, text_col: str, lang_col: str, id_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                h, starts, _ = grams(texts[a:b], sizes)
+            langs = batch.column(1).to_pylist()
+            for a, texts in text_slices(batch.column(0), 1 << 21):  # fewer rows for the shuffle than from smaller slices
+                h, starts, _ = grams(texts, sizes)
                 seen = {}
-                for k in range(b - a):
+                for k in range(len(texts)):
                     own = np.unique(np.concatenate([h[row[k]:row[k + 1]] for row in starts]))
                     seen.setdefault(index[langs[a + k]], []).append(own)
                 for i, parts in seen.items():
@@ -199,17 +199,16 @@ def predict_language(df: DataFrame, model: LanguageFilter, text_col: str = "text
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
             lang, score, cover = [], [], []
-            for a, b in slices(texts):
+            for _, texts in text_slices(batch.column(batch.num_columns - 1)):
                 if not m.languages:
-                    lang += [UNDETERMINED] * (b - a)
-                    score += [0.0] * (b - a)
-                    cover += [0.0] * (b - a)
+                    lang += [UNDETERMINED] * len(texts)
+                    score += [0.0] * len(texts)
+                    cover += [0.0] * len(texts)
                     continue
-                counts, n, letters = m.scores(texts[a:b], sizes)
+                counts, n, letters = m.scores(texts, sizes)
                 best = counts.argmax(axis=1)
-                top = counts[np.arange(b - a), best]
+                top = counts[np.arange(len(texts)), best]
                 lang += [m.languages[i] if ok else UNDETERMINED for i, ok in zip(best, letters)]
                 score += np.where(letters, top / np.maximum(counts.sum(axis=1), 1e-9), 0.0).tolist()
                 cover += np.where(letters, np.minimum(1, top / np.maximum(n, 1)), 0.0).tolist()

@@ -98,6 +98,22 @@ def test_near(docs, empty, words, percent, leaf, monkeypatch):
     assert len(out) == docs.count() and chosen_path.near_duplicates(empty).count() == 0
 
 
+def test_near_copies_without_ids(spark):
+    """Rows without an id are linked: they go where a row with an id stays, and one of them stays where there is none."""
+    text, other = _text(3, 60), _text(4, 60)
+    rows = [(None, text), (7, text + " end"), (None, other), (None, other + " end"), (None, other), (None, None), (None, ""), (8, None)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, __lost int, __document string")
+    out = chosen_path.near_duplicates(df).collect()
+    got = Counter((r.doc_id, r.component_id, r.n_shingles, r.kept) for r in out)
+    named = Counter({(7, 7, 57, True): 1, (None, 7, 56, False): 1, (8, 8, 0, True): 1, (None, None, 0, True): 2})
+    assert got - named in [Counter({(None, None, 56, k): 2, (None, None, 57, not k): 1}) for k in (True, False)] and not named - got
+    kept = chosen_path.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    texts = Counter((r.doc_id, r.text) for r in kept.collect())
+    rest = Counter({(7, text + " end"): 1, (None, None): 1, (None, ""): 1, (8, None): 1})
+    assert texts - rest in (Counter({(None, other): 2}), Counter({(None, other + " end"): 1})) and not rest - texts
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
 def test_near_clusters(spark, words, percent, monkeypatch):
     """Large groups of near copies on both sides of the threshold, with edits that some share, in large nodes only."""
@@ -125,7 +141,7 @@ def test_near_clusters(spark, words, percent, monkeypatch):
     # every link between different components, by difference alone and with no component known before
     texts = df.withColumnRenamed("doc_id", "id")
     full = chosen_path.full_sets(texts, words)
-    members = texts.selectExpr("id div 1000 AS node", "id", "id AS component", "id < 1000 AS dense")
+    members = texts.selectExpr("id div 1000 AS node", "id", "id AS component")
     found = {(r.a, r.b) for r in chosen_path._compare_by_difference(members, full, percent).collect()}
     assert found <= set(links)
     label = {i: i for i in sets}
