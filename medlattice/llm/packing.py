@@ -34,37 +34,50 @@ class WordTokenizer:
 
     The tokenizer's pre-tokens never span white space, so a text's ids are those of its words (runs without
     ASCII white space) in turn. A kept word costs one lookup. Texts with marks of special tokens go to the
-    library whole. Memory is bounded: kept words are dropped at ``most_words`` entries, pre-tokens at ``most_parts`` (some 200 bytes each).
+    library whole. Memory is bounded: words and pre-tokens are kept in two generations of ``most`` entries each (some 200 bytes an
+    entry, so 120 MB in all); the older one is dropped when the younger one is full, and what is still in use moves on. A task
+    forgets them at its end, so that the stages after it have the room.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000, most_parts: int = 1_000_000):
+    def __init__(self, path: str, most: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
-        self.most_words, self.most_parts = most_words, most_parts
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.most = most
+        self.forget()
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
 
+    def forget(self) -> None:
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
+
     def _part(self, pre_token: str) -> bytes:
         """Ids of a pre-token of a plain word."""
         got = self.parts.get(pre_token)
+        if got is not None:
+            return got
+        got = self.old_parts.get(pre_token)
         if got is None:
             ids = [t.id for t in self.model.tokenize(pre_token if pre_token.isascii() else pre_token.encode().decode("latin-1").translate(self.letters))]
             got = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.parts) >= self.most_parts:
-                self.parts.clear()
-            if len(pre_token) <= 64:
-                self.parts[pre_token] = got
+        if len(self.parts) >= self.most:
+            self.old_parts, self.parts = self.parts, {}
+        if len(pre_token) <= 64:
+            self.parts[pre_token] = got
         return got
 
     def word(self, word: bytes) -> bytes:
         got = self.words.get(word)
         if got is not None:
             return got
-        if word.isalpha():  # bytes: ASCII letters
+        got = self.old_words.get(word)
+        if got is not None:
+            pass
+        elif word.isalpha():  # bytes: ASCII letters
             got = self._part(word.decode().lower())
         elif word[:-1].isalpha() and word[-1:] in _MARKS:
             got = self._part(word[:-1].decode().lower()) + self._part(word[-1:].decode())
@@ -72,8 +85,8 @@ class WordTokenizer:
             got = b"".join(map(self._part, _PRE_TOKENS.findall(text.lower())))
         else:
             got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.words) >= self.most_words:
-            self.words.clear()
+        if len(self.words) >= self.most:
+            self.old_words, self.words = self.words, {}
         if len(word) <= 64:
             self.words[word] = got
         return got
@@ -129,6 +142,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(np.array(piece, np.int64) * length),
                      pa.array(n), pa.array(pieces, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
+        tokenizer.forget()
 
     return df.select(id_col, text_col).mapInArrow(cut, schema)
 
