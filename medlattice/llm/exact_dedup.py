@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import settle
+from medlattice.llm.common import merged, settle
 
 FILTER_SCHEMA = ("block int, quotient_bits int, occupied binary, run_lengths binary, "
                  "remainders binary, counts binary")
@@ -153,4 +153,4 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     own = df.withColumn("__sha256", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     lost = groups.select(F.col("text_sha256").alias("__group"), F.col("keep_id").alias("__keep"))
     gone = (own["__sha256"] == lost["__group"]) & ~own[id_col].eqNullSafe(lost["__keep"])
-    return own.join(lost, gone, "left_anti").drop("__sha256")
+    return own.join(merged(lost), gone, "left_anti").drop("__sha256")  # the groups grow with the input
