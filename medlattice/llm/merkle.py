@@ -115,11 +115,11 @@ class Manifest:
     groups: list[DataFrame]
     crown: list[DataFrame]
     subroots: DataFrame  # group, subroot, place, n
-    root: DataFrame  # one row: root; none for an empty dataset
+    root: DataFrame  # key (empty), root: one row, none for an empty dataset
 
     def proofs(self) -> DataFrame:
         """The rows of the manifest's table with ``subroot``, ``root`` and ``path`` (from the leaf to the root)."""
-        end = self.root.select(F.lit("").alias("key"), F.struct("root").alias("crown"), F.array().cast(PATH).alias("path"))
+        end = self.root.select("key", F.struct("root").alias("crown"), F.array().cast(PATH).alias("path"))
         over = _down(self.crown, end).select(F.col("payload.key").alias("key"), F.struct(F.col("payload.subroot").alias("subroot"), "crown.root").alias("crown"), "path")
         rows = _down(self.groups, settle(over, "subroots"))
         names = [f"payload.{c}" for c in rows.schema["payload"].dataType.names if c not in ("subroot", "root", "path")]
@@ -143,7 +143,7 @@ def build_manifest(rows: DataFrame, group_col: str = "source", order_cols: tuple
     over = settle(over.select(F.col("one").alias("key"), "n", "place", "node", F.struct("key", F.col("node").alias("subroot")).alias("payload")), "tops")
     crown, root = _up(over)
     name = F.when(F.col("payload.key") != "0", F.expr("substring(payload.key, 2)"))
-    return Manifest(groups, crown, over.select(name.alias(group_col), "payload.subroot", "place", "n"), root.select(F.col("top").alias("root")))
+    return Manifest(groups, crown, over.select(name.alias(group_col), "payload.subroot", "place", "n"), root.select("key", F.col("top").alias("root")))
 
 
 def fold(leaf: Column, path: Column) -> Column:

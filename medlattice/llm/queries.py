@@ -50,7 +50,7 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and digest are of the base spans; ``spans`` has the accepted candidates as well."""
+    """Counts and digest are of the base spans; ``spans`` has the accepted candidates as well, whose probabilities follow in turn."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
 
     def of(kind: str):
@@ -58,7 +58,8 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     n = [of(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *n, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
-                        pii.span_text(F.col("spans")).alias("spans"))
+                        pii.span_text(F.col("spans")).alias("spans"),
+                        F.array_join(F.transform(F.filter("spans", lambda s: s["probability"].isNotNull()), lambda s: F.round(s["probability"], 4).cast("string")), ",").alias("probabilities"))
 
 
 def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
