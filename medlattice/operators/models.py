@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,10 +48,12 @@ def linear_svm(train: DataFrame, c: float = 1.0, n_rows: int | None = None, max_
 
 
 def decision_tree(train: DataFrame, max_depth: int = 5, seed: int = 0):
-    """M3: decision tree (depth 5; Spark caps depth at 30)."""
+    """M3: decision tree (depth 5). Spark's own trees have at most 30 levels; ``trees.grow_tree`` has no limit."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    return DecisionTreeClassifier(maxDepth=min(max_depth, 30), seed=seed,
+    if max_depth > 30:
+        raise ValueError("at most 30 levels here; use trees.grow_tree for deeper trees")
+    return DecisionTreeClassifier(maxDepth=max_depth, seed=seed,
                                   featuresCol="features", labelCol="label").fit(train)
 
 
@@ -303,35 +305,59 @@ def random_centers(spark, k: int, dim: int, weight: float = 0.5, seed: int = STR
     return spark.createDataFrame(rows, "cluster int, center array<double>, weight double")
 
 
-def streaming_kmeans_update(centers: DataFrame, points: DataFrame, decay: float = 1.0,
-                            point_col: str = "x") -> DataFrame:
-    """One mini-batch update of streaming k-means ("batches" unit).
-
-    Each point goes to its nearest center (ties: lowest cluster id);
-    per cluster c' = (c·n·a + Σx) / (n·a + m), n' = n·a + m with a the
-    decay and m the points assigned. Clusters without points keep c and
-    decay their weight. centers: cluster, center (array<double>), weight.
-    The k-row center table reaches every task as one scalar subquery value.
-    """
+def nearest_center(points: DataFrame, centers: DataFrame, point_col: str = "x") -> DataFrame:
+    """``points`` with ``cluster``, that of the nearest center (ties: the lowest). The table of centers (cluster, center), one row
+    for each, reaches every task as one scalar subquery value."""
     packed = centers.agg(F.array_sort(F.collect_list(F.struct("cluster", "center")))).scalar()
-    pts = points.select(F.col(point_col).cast("array<double>").alias("x"), packed.alias("_cs"))
     dists = F.transform("_cs", lambda c: F.struct(
-        F.aggregate(F.zip_with(F.col("x"), c["center"], lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+        F.aggregate(F.zip_with(F.col(point_col), c["center"], lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                     lambda acc, v: acc + v).alias("d"), c["cluster"].alias("cluster")))
-    assigned = pts.select("x", F.array_min(dists)["cluster"].alias("cluster"))
-    dim_sums = (assigned.select("cluster", F.posexplode("x").alias("pos", "v"))
-                .groupBy("cluster", "pos").agg(F.sum("v").alias("s")))
-    counts = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
-    c_long = centers.select("cluster", "weight", F.posexplode("center").alias("pos", "c"))
-    upd = (c_long.join(counts, "cluster", "left").join(dim_sums, ["cluster", "pos"], "left")
-           .fillna(0, ["m"]).fillna(0.0, ["s"]))
-    nw = F.col("weight") * decay + F.col("m")
-    upd = upd.select("cluster", "pos", nw.alias("new_weight"),
-                     F.when(nw > 0, (F.col("c") * F.col("weight") * decay + F.col("s")) / nw)
-                     .otherwise(F.col("c")).alias("value"))
-    return upd.groupBy("cluster").agg(
-        F.first("new_weight").alias("weight"),
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]).alias("center"))
+    return points.withColumn("_cs", packed).withColumn("cluster", F.array_min(dists)["cluster"]).drop("_cs")
+
+
+# A cluster whose weight is below this share of the largest one's is dying (fixed value).
+DYING = 1e-8
+# How far the halves of a split center move, relative to a component of at least 1 (fixed value).
+SPLIT_STEP = 1e-14
+
+
+def streaming_kmeans_update(centers: DataFrame, points: DataFrame, decay: float = 1.0,
+                            point_col: str = "x", unit: str = "batches") -> DataFrame:
+    """One mini-batch update of streaming k-means.
+
+    Each point goes to its nearest center (ties: lowest cluster id); per cluster c' = (c·n·a + Σx) / (n·a + m),
+    n' = n·a + m with m the points assigned and a the discount: ``decay`` per batch, or with unit "points" ``decay`` to the power of
+    the batch's number of points. Clusters without points keep c. If the lightest cluster then has less than DYING of the heaviest one's weight, it
+    dies: both share their weight, and take the heaviest one's center, moved apart by SPLIT_STEP. centers: cluster, center (array<double>), weight. Sums
+    are vectors added map-side, so a task sends one row per cluster.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    if unit not in ("batches", "points"):
+        raise ValueError("unit must be batches or points")
+    pts = points.select(F.col(point_col).cast("array<double>").alias("x"))
+    sums = nearest_center(pts, centers).groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("m"), vector_to_array(Summarizer.sum(array_to_vector("x"))).alias("s"))
+    stats = centers.select("cluster", "center", "weight").join(sums, "cluster", "left").fillna(0, ["m"])
+    clusters = Window.partitionBy(F.lit(0))  # one row per cluster
+    upd = stats.withColumn("points", F.sum("m").over(clusters))
+    discount = F.lit(float(decay)) if unit == "batches" else F.pow(F.lit(float(decay)), F.col("points"))
+    # Names of their own: inside a lambda, a name that the same select assigns would mean the new column.
+    upd = upd.withColumn("_old", F.col("weight") * discount).withColumn("_new", F.col("_old") + F.col("m"))
+    moved = F.zip_with("center", "s", lambda c, v: (c * F.col("_old") + v) / F.col("_new"))
+    upd = upd.select("cluster", F.col("_new").alias("weight"), F.when(F.col("m") > 0, moved).otherwise(F.col("center")).alias("center"))
+    upd = (upd.withColumn("_top", F.max(F.struct("weight", (-F.col("cluster")).alias("cluster"), "center")).over(clusters))
+           .withColumn("_low", F.min(F.struct("weight", "cluster")).over(clusters)))
+    dies = F.col("_low.weight") < F.lit(DYING) * F.col("_top.weight")
+    largest, smallest = F.col("cluster") == -F.col("_top.cluster"), F.col("cluster") == F.col("_low.cluster")
+
+    def half(sign):
+        return F.transform("_top.center", lambda x: x + F.lit(sign * SPLIT_STEP) * F.greatest(F.abs(x), F.lit(1.0)))
+
+    center = F.when(dies & largest, half(1.0)).when(dies & smallest, half(-1.0)).otherwise(F.col("center"))
+    weight = F.when(dies & (largest | smallest), (F.col("_top.weight") + F.col("_low.weight")) / 2).otherwise(F.col("weight"))
+    return upd.select("cluster", weight.alias("_w"), center.alias("_c")).toDF("cluster", "weight", "center")
 
 
 # ------------------------------------------------------------- networks

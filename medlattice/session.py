@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder, read back.
+
+    For loops: it cuts the lineage, outlives lost executors, and the planner sees the written size (a checkpointed DataFrame
+    keeps its plan's estimate, and the estimates of joins multiply from round to round).
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (no job runs). For joins and
     aggregates the estimate is an upper bound in practice (it assumes no
