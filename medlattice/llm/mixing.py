@@ -1,11 +1,12 @@
 """Mixing sources to target weights by entropy balancing.
 
 Document rates r minimise the token-weighted relative entropy to the natural
-mix, sum(size * (r log r - r + 1)), under one token constraint per source.
-The convex dual has one multiplier per source, and the rates are its
-exponential tilt r = exp(lambda[source]). Newton's method runs for all
-sources at once as column expressions over the token sums that Spark
-aggregates (they are sufficient for gradient and Hessian). Rates are rounded
+mix, sum(size * (r log r - r + 1)), under token constraints: for each value of each constraint column (source, language and so on)
+the rated tokens of its documents meet a target. The convex dual has one multiplier per constraint, and a document's rate
+is the exponential tilt r = exp(sum of its values' multipliers). Newton's method runs in Spark: each round sums gradient and curvature of a
+column's constraints over the cells (the token sums of each combination of values, which are sufficient), and moves all
+its multipliers at once; the values of one column share no document, so their block of the Hessian is diagonal. Rounds
+go on over the columns until every constraint is met to a tolerance. Shares of sources are the case of one column. Rates are rounded
 into whole copies: the whole part for every document, and one copy more for
 the documents first in a hashed order until the source's target is met.
 """
@@ -17,8 +18,6 @@ from pyspark.sql import functions as F
 
 from medlattice.llm.common import settle, word_count
 
-NEWTON_STEPS = 60
-
 
 def source_targets(sums: DataFrame, weights: list[float], max_rate: float) -> DataFrame:
     """Adds ``target`` to (source, source_size, ...): the sources share the sum of all
@@ -48,15 +47,42 @@ def source_targets(sums: DataFrame, weights: list[float], max_rate: float) -> Da
     return t.withColumn("target", target).select(*sums.columns, "target")
 
 
-def newton_multiplier(size: Column, target: Column) -> Column:
-    """The dual multiplier of one token constraint, size * exp(x) = target, by Newton
-    steps of at most 1 (the dual is convex, so the damped steps converge)."""
-
-    def step(x, _):
-        value = F.greatest(size, F.lit(1.0)) * F.exp(x)
-        return x - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (value - target) / value))
+def entropy_multipliers(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-9, most_rounds: int = 200) -> dict[str, DataFrame]:
+    """For each constraint column its values with ``target`` and the dual ``multiplier``.
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), F.lit(0.0), step)
+    ``cells`` has the columns and ``size``, one row for each combination; ``targets[column]`` has (column, target). Null is a value like others. Values
+    without tokens, or with target 0, have a null multiplier (rate 0). Newton steps are at most 1, as the dual is convex. The driver reads one
+    number a step. Raises if the constraints are not met after ``most_rounds`` (crossed targets that contradict each other).
+    """
+    def same(column: str) -> Column:
+        return F.col(f"c.{column}").eqNullSafe(F.col(f"m.{column}"))
+
+    found = {}
+    for column, target in targets.items():
+        sums = cells.groupBy(column).agg(F.sum("size").alias("tokens"))
+        start = target.alias("m").join(sums.alias("c"), same(column), "left").select(
+            f"m.{column}", "target", F.when((F.col("tokens") > 0) & (F.col("target") > 0), F.lit(0.0)).alias("multiplier"))
+        found[column] = settle(start, "multipliers")
+    for _ in range(most_rounds):
+        worst = 0.0
+        for column in targets:
+            tilted = cells.withColumn("tilt", F.lit(0.0))
+            for other in targets:
+                m = found[other].select(other, F.col("multiplier").alias("tilt_more"))
+                tilted = tilted.alias("c").join(m.alias("m"), same(other)).select(
+                    *[F.col(f"c.{c}").alias(c) for c in cells.columns], (F.col("tilt") + F.col("tilt_more")).alias("tilt"))
+            # Gradient (rated tokens less target) and curvature (rated tokens) of each of the column's constraints.
+            rated = tilted.where("tilt is not null").groupBy(column).agg(F.sum(F.col("size") * F.exp("tilt")).alias("rated"))
+            step = (F.col("rated") - F.col("target")) / F.col("rated")
+            moved = settle(found[column].alias("m").join(rated.alias("c"), same(column), "left").select(
+                F.col(f"m.{column}").alias(column), "target",
+                (F.col("multiplier") - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce(step, F.lit(0.0))))).alias("multiplier"),
+                F.abs(F.col("rated") / F.col("target") - 1).alias("off")), "multipliers")
+            worst = max(worst, moved.agg(F.max("off")).first()[0] or 0.0)
+            found[column] = moved.drop("off")
+        if worst <= tolerance:
+            return found
+    raise ValueError("the token constraints cannot be met together")
 
 
 def mix_sources(df: DataFrame, weights: list[float], max_rate: int = 3, id_col: str = "doc_id",
@@ -84,9 +110,11 @@ def mix_sources(df: DataFrame, weights: list[float], max_rate: int = 3, id_col:
                      .select("source", "hash", "words", bucket.alias("bucket")), "mix-sizes")
     histogram = settle(compact.groupBy("source", "bucket").agg(F.sum("words").alias("words")), "mix-histogram")
     sums = histogram.groupBy("source").agg(F.sum("words").alias("source_size"))
-    targets = source_targets(sums, weights, max_rate)
-    rate = F.least(F.lit(float(max_rate)), F.exp(newton_multiplier(F.col("source_size").cast("double"), F.col("target"))))
-    targets = (targets.withColumn("rate", F.when((F.col("source_size") > 0) & (F.col("target") > 0), rate).otherwise(F.lit(0.0)))
+    targets = settle(source_targets(sums, weights, max_rate), "mix-targets")
+    duals = entropy_multipliers(targets.select("source", F.col("source_size").alias("size")), {"source": targets.select("source", "target")})["source"]
+    rate = F.least(F.lit(float(max_rate)), F.exp("multiplier"))
+    targets = (targets.alias("t").join(duals.alias("d"), F.col("t.source").eqNullSafe(F.col("d.source"))).select("t.*", "multiplier")
+               .withColumn("rate", F.coalesce(rate, F.lit(0.0))).drop("multiplier")
                # a rate within rounding of a whole number is that number
                .withColumn("whole", F.floor(F.col("rate") + F.lit(1e-9)))
                .withColumn("rest", F.greatest(F.lit(0.0), (F.col("rate") - F.col("whole")) * F.col("source_size"))))
