@@ -25,7 +25,7 @@ _CLASSES = ("cls", "SELECT min(patient_id) AS class_id, count(*) AS members, max
 
 
 @query("jaccard_set_classes", with_views(["graph_rec"], """
-SELECT patient_id, min(patient_id) OVER (PARTITION BY codes) AS class_id FROM sets""", [_SETS]), ("G4", "J15", "F19"))
+SELECT patient_id, min(patient_id) OVER (PARTITION BY codes) AS class_id FROM sets""", [_SETS]), ("G4", "J15"))
 def q_jaccard_set_classes(fx):
     """The class of each patient: the smallest patient with the same set of codes."""
     return similarity.set_classes(fx.graph_records)[0]

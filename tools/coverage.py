@@ -142,6 +142,18 @@ TESTS = {
 }
 
 
+IMPL.update({
+    "G4": "operators/similarity.similar_classes (threshold), operators/graph.jaccard_all_pairs",
+    "J15": "operators/similarity.similar_classes, operators/graph.jaccard_all_pairs",
+    "G2": "operators/graph.jaccard (similar_classes)", "U5": "operators/graph.jaccard (similar_classes)",
+    "A4": "operators/quantiles.exact_percentiles, operators/cohort.cohort_summary",
+    "M3": "operators/trees.grow_tree, tree_predictions; operators/models.decision_tree",
+    "M14": "operators/models.streaming_kmeans_update (both time units, dying clusters)",
+    "Z1": "streaming/kmeans.run_streaming_kmeans (commit log, restart)",
+    "J5": "operators/cohort.dead_events", "J6": "operators/cohort.alive_events", "P5": "operators/cohort.alive_events (left anti join)",
+})
+
+
 def main() -> None:
     from medlattice.plans import REGISTRY
 
