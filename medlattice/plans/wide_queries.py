@@ -48,7 +48,7 @@ FROM (SELECT a.patient_id, a.idx, a.normalized_value AS nv, l.label FROM ({_COUN
        ("S7", "K3", "K4", "F9", "F19"))
 def q_svmlight_round_trip(fx):
     """svmlight text of the count features, written to files and read back as sparse vectors whose width is found while reading."""
-    rows = features.svmlight_text(features.svmlight_rows(features.count_features(_filtered(fx)), "idx", "normalized_value"), with_id=True)
+    rows = features.svmlight_text(features.svmlight_rows(features.count_features(_filtered(fx)), idx="idx", value="normalized_value"), with_id=True)
     path = _folder(fx, "svmlight")
     writers.write_text_lines(rows, path)
     read = vectors.read_svmlight_sparse(fx.spark, path, with_id=True)
@@ -68,7 +68,7 @@ _WEIGHT = "(((model_id * 31 + idx * 17 + model_id * idx) % 19) - 9) / 20.0"
 
 
 def _given_weights(samples):
-    idx = samples.select(F.explode("pairs.idx").cast("long").alias("idx")).distinct()
+    idx = samples.select(F.explode("pairs.idx").alias("idx")).distinct().select(F.col("idx").cast("long"))
     return idx.select(F.explode(F.sequence(F.lit(1), F.lit(ENSEMBLE))).alias("model_id"), "idx").withColumn("weight", F.expr(f"CAST({_WEIGHT} AS DOUBLE)"))
 
 
