@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import stable_uniform, stable_uniform_sql
-from medlattice.operators import cohort, features, metrics, models, phenotype, sequences
+from medlattice.operators import cohort, features, metrics, models, phenotype, sequences, vectors
 from medlattice.operators.indexing import dense_index
 from medlattice.plans.fixture_sql import with_views
 from medlattice.plans.registry import query
@@ -269,10 +269,9 @@ def q_mortality_scores(fx):
     n = cmap.count()
     counts = (long_df.where(F.col("code_idx").isNotNull())
               .groupBy("subject_id", "code_idx").agg(F.count(F.lit(1)).cast("double").alias("value")))
-    vec = features.assemble_vectors(counts, n, key="subject_id", idx="code_idx", value="value")
+    pairs = counts.groupBy("subject_id").agg(F.collect_list(F.struct(F.col("code_idx").alias("idx"), "value")).alias("pairs"))
     subj = long_df.select("subject_id", "split").distinct()
-    none = array_to_vector(F.array_repeat(F.lit(0.0), n))
-    data = (subj.join(vec, "subject_id", "left").withColumn("features", F.coalesce("features", none))
+    data = (vectors.pairs_to_vectors(subj.join(pairs, "subject_id", "left"), n)
             .join(sequences.subject_labels(fx.subject_mortality), "subject_id", "left")
             .withColumn("label", F.col("label").cast("double")))
     model = models.logistic_regression(data.where(F.col("split") == "train"))
