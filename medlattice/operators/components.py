@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from medlattice.operators.metrics import attach_row
 from medlattice.session import maybe_broadcast, written
 
-# Directions beyond those asked for (a usual choice of the method).
-OVERSAMPLE = 8
+# Directions beyond those asked for: more of them need fewer rounds.
+OVERSAMPLE = 16
 # Entries of one column index per (index, salt) task where the basis is too large to broadcast.
 SALT_TARGET = 100_000
 
@@ -79,7 +79,7 @@ def _orthonormal(df: DataFrame, names: list[str], label: str) -> tuple[DataFrame
 
 
 def principal_components(entries: DataFrame, k: int, key: str = "patient_id", keys: DataFrame | None = None, seed: int = 0,
-                         tolerance: float = 1e-7, max_rounds: int = 60, salt_target: int = SALT_TARGET,
+                         tolerance: float = 1e-6, max_rounds: int = 100, salt_target: int = SALT_TARGET,
                          broadcast_basis: bool = True) -> tuple[DataFrame, DataFrame, list[float]]:
     """(scores, components, variances) of the centered matrix of entries (key, idx, value).
 
