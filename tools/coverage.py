@@ -20,11 +20,11 @@ IMPL = {
     "S4": "sources/readers.load_csv_table (DROPMALFORMED, temp view)",
     "S5": "sources/readers.table_name_from_path, load_csv_table",
     "S6": "sources/readers.read_candidates; operators/features._restrict (semi join)",
-    "S7": "sources/readers.parse_svmlight, read_svmlight (0-based)",
+    "S7": "sources/readers.parse_svmlight, operators/vectors.read_svmlight_sparse (0-based)",
     "S8": "sources/readers.read_seizure_csv",
     "S9": "column pruning (select) in every fixture view",
     "S10": "sources/readers.read_sequences",
-    "S11": "sources/readers.read_model_weights",
+    "S11": "sources/readers.read_model_weights, sources/artefacts.read_table",
     "K1": "sources/writers.write_csv",
     "K2": "sources/writers.write_csv(header=False, mode=overwrite)",
     "K3": "sources/writers.write_space_delimited",
@@ -32,7 +32,7 @@ IMPL = {
     "K5": "sources/writers.write_predictions",
     "K6": "sources/writers.write_predictions",
     "K7": "sources/writers.write_partitioned_parquet",
-    "K8": "sources/writers.save_model",
+    "K8": "sources/writers.save_model, sources/artefacts.publish_model",
     "P1": "select in every operator", "P2": "alias in every operator", "P3": "lit() labels",
     "P4": "operators/features.aggregate_events (isNotNull)",
     "P5": "operators/cohort.alive_events (left anti join)",
@@ -105,13 +105,13 @@ IMPL = {
     "G1": "operators/graph.build_graph", "G2": "operators/graph.jaccard",
     "G3": "operators/graph.jaccard_one_vs_all", "G4": "operators/graph.jaccard_all_pairs",
     "G5": "operators/graph.random_walk", "G6": "operators/graph.random_walk_one_vs_all",
-    "G7": "operators/graph.power_iteration_clusters",
+    "G7": "operators/graph.power_iteration_clusters; operators/clusters.threshold_clusters",
     "M1": "operators/models.logistic_regression", "M2": "operators/models.linear_svm",
     "M3": "operators/models.decision_tree", "M4": "operators/models.classifier_report",
     "M5": "operators/models.add_folds, kfold_scores", "M6": "operators/models.random_splits, randomized_cv_scores",
     "M7": "operators/models.bagging_fanout", "M8": "operators/models.train_sgd_ensemble (mapInPandas)",
-    "M9": "operators/models.ensemble_probability", "M10": "operators/models.standardize",
-    "M11": "operators/models.pca", "M12": "operators/models.kmeans", "M13": "operators/models.gaussian_mixture",
+    "M9": "operators/models.ensemble_probability; operators/scoring.many_model_probability", "M10": "operators/models.standardize",
+    "M11": "operators/models.pca; operators/components.principal_components", "M12": "operators/models.kmeans", "M13": "operators/models.gaussian_mixture",
     "M14": "operators/models.streaming_kmeans_update", "M15": "operators/models.clustering_pipeline + metrics.purity",
     "M16": "operators/models.mlp_best", "M17": "operators/models.predictions_frame, metrics.log_loss",
     "M18": "operators/models.predictions_frame (positive_probability)",
@@ -136,7 +136,7 @@ TESTS = {
     "F20": "test_sequences", "A19": "test_metrics", "A21": "test_metrics", "A22": "test_metrics",
     "A23": "test_metrics", "A24": "test_metrics", "A25": "test_metrics", "A26": "test_metrics",
     "M5": "test_models", "M6": "test_models", "M7": "test_models", "M8": "test_models (sequential definition)",
-    "M9": "test_models", "M14": "test_models", "M15": "test_io_models", "M16": "test_io_models",
+    "M9": "test_models; operators/scoring.many_model_probability", "M14": "test_models", "M15": "test_io_models", "M16": "test_io_models",
     "M19": "test_io_models", "Z1": "test_io_models", "W2": "test_indexing", "F4": "test_sources", "F1": "test_sources", "F2": "test_sources",
     "F3": "test_sources",
 }
