@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from medlattice.operators.metrics import attach_row
 from medlattice.session import maybe_broadcast, written
 
-# Directions beyond those asked for: more of them need fewer rounds.
-OVERSAMPLE = 16
+# Directions beyond those asked for (a usual choice of the method).
+OVERSAMPLE = 8
 # Entries of one column index per (index, salt) task where the basis is too large to broadcast.
 SALT_TARGET = 100_000
 
