@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import safe_ratio
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast
+from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, written
 
 PATIENT = "patient"
-# Rows of one code per (salt, salt) task in the all-pairs self-join.
+# Keys of one code in one list of the all-pairs count.
 SALT_TARGET = 2048
 # Out-edges of one vertex per (vertex, salt) partition key in the random walk.
 EDGE_SALT_TARGET = 100_000
@@ -101,41 +101,49 @@ def jaccard_one_vs_all(pairs: DataFrame, patients: DataFrame, patient_id: int, k
             .orderBy(F.desc(F.round("similarity", 12)), F.asc("patient_id")).limit(k))
 
 
+def shared_counts(pairs: DataFrame, key: str, code_cols: list[str], salt_target: int = SALT_TARGET) -> DataFrame:
+    """(p1, p2, i): how many codes each two keys p1 < p2 share, for every two that share one. ``pairs`` are distinct (key, codes);
+    rows with a null take no part.
+
+    Each code's keys become sorted lists of about ``salt_target`` (a hotter code has several, met in pairs). A key p1 is sent, for each of its
+    codes, the keys above it as one array, so what is shuffled follows the entries and not the pairs. The arrays are unpacked and
+    counted where they arrive: all pairs of a p1 are in one partition, so the pairs themselves are not shuffled.
+    """
+    code_cols = list(code_cols)
+    e = pairs.select(F.col(key).alias("_p"), *code_cols).dropna()
+    ways = (e.groupBy(*code_cols).agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_target)).alias("_ways")).where(F.col("_ways") > 1))
+    block = F.pmod(F.xxhash64("_p"), F.coalesce("_ways", F.lit(1)))
+    lists = (e.join(maybe_broadcast(ways), code_cols, "left").withColumn("_b", block)
+             .groupBy(*code_cols, "_ways", "_b").agg(F.sort_array(F.collect_list("_p")).alias("_ps")))
+    own = (lists.select("_ps", F.posexplode("_ps").alias("_i", "p1"))
+           .select("p1", F.expr("slice(_ps, _i + 2, size(_ps))").alias("_others")))
+    hot = lists.where(F.col("_ways") > 1)
+    two = (hot.select(*code_cols, F.col("_b").alias("_b1"), F.col("_ps").alias("_x"))
+           .join(hot.select(*code_cols, F.col("_b").alias("_b2"), F.col("_ps").alias("_y")), code_cols).where("_b1 < _b2"))
+    sides = [two.select(F.explode(x).alias("p1"), F.col(y).alias("_o")).select("p1", F.expr("filter(_o, o -> o > p1)").alias("_others"))
+             for x, y in (("_x", "_y"), ("_y", "_x"))]
+    sent = own.unionByName(sides[0]).unionByName(sides[1]).where(F.size("_others") > 0).repartition("p1")
+    return sent.select("p1", F.explode("_others").alias("p2")).groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("i"))
+
+
 def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct_input: bool = False,
                       code_cols: tuple[str, ...] = ("code_id",)) -> DataFrame:
     """(p1, p2, similarity) for every pair p1 < p2 sharing a code.
 
-    Inverted-index self-join on the code; pairs with no shared code have
-    similarity 0 and are not materialized (that would be a cross join).
-    Hot codes are salted: a code held by d patients is split into
-    b = ceil(d / salt_target) buckets per side and the join key becomes
-    (code, bucket_left, bucket_right), so no task sees more than about
-    salt_target rows per side; every pair meets exactly once. Intersection
-    counts are partially aggregated right after the join. Each patient's
-    code count rides along on its (patient, code) rows as a grouping key
-    (it depends on the patient only), so the pair table -- the largest
-    intermediate -- is never joined or reshuffled after its aggregate.
-    Pass ``distinct_input=True`` when pairs are already distinct (graph
-    edges are) to skip one shuffle.
+    Pairs with no shared code have similarity 0 and are not materialized (that would be a cross join); see
+    :func:`shared_counts` for the others. The distinct entries are written once; each patient's code count, one small row, is joined to
+    the counted pairs, by broadcast where its written size allows. Pass ``distinct_input=True`` when pairs are already
+    distinct (graph edges are) to skip one shuffle.
     """
     code_cols = list(code_cols)
     e = pairs.select("patient_id", *code_cols)
     if not distinct_input:
         e = e.distinct()
-    code_deg = e.groupBy(*code_cols).agg(F.count(F.lit(1)).alias("_d"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(salt_target))).cast("int")
-    deg = e.groupBy("patient_id").agg(F.count(F.lit(1)).alias("_n"))
-    e2 = (e.join(maybe_broadcast(code_deg.select(*code_cols, nb.alias("_nb"))), code_cols)
-          .join(maybe_broadcast(deg), "patient_id"))
-    salt = F.pmod(F.xxhash64("patient_id"), F.col("_nb")).cast("int")
-    fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = e2.select(*code_cols, F.col("patient_id").alias("p1"), F.col("_n").alias("n1"),
-                     salt.alias("_sa"), fan.alias("_sb"))
-    right = e2.select(*code_cols, F.col("patient_id").alias("p2"), F.col("_n").alias("n2"),
-                      fan.alias("_sa"), salt.alias("_sb"))
-    inter = (left.join(right, [*code_cols, "_sa", "_sb"])
-             .where(F.col("p1") < F.col("p2"))
-             .groupBy("p1", "p2", "n1", "n2").agg(F.count(F.lit(1)).alias("i")))
+    e = written(e, "patient-codes")
+    deg = maybe_broadcast(written(e.dropna(subset=["patient_id"]).groupBy("patient_id").agg(F.count(F.lit(1)).alias("_n")), "code-counts"))
+    inter = (shared_counts(e, "patient_id", code_cols, salt_target)
+             .join(deg.select(F.col("patient_id").alias("p1"), F.col("_n").alias("n1")), "p1")
+             .join(deg.select(F.col("patient_id").alias("p2"), F.col("_n").alias("n2")), "p2"))
     return inter.select("p1", "p2", (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity"))
 
 

@@ -83,3 +83,14 @@ def test_random_walk_matches_brute_force(spark):
         assert all(abs(salted[k] - want[k]) < 1e-12 for k in ids)
     ranked = graph.random_walk_one_vs_all(v, e, 1, 5).orderBy("position").collect()
     assert [r.position for r in ranked] == [1, 2, 3] and 1 not in [r.patient_id for r in ranked]
+
+
+def test_shared_counts_against_brute_force(spark):
+    """Codes in one list and in several, nulls, a key without a partner."""
+    rng = np.random.default_rng(2)
+    sets = {p: {int(c) for c in rng.integers(0, 9, rng.integers(1, 6))} for p in range(40)} | {99: {77}}
+    rows = [(p, c) for p, own in sets.items() for c in own] + [(None, 1), (5, None)]
+    df = spark.createDataFrame(rows, "k long, code long").repartition(5)
+    want = sorted((a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b])
+    for target in (1, 3, 1000):
+        assert sorted(map(tuple, graph.shared_counts(df, "k", ["code"], target).collect())) == want
