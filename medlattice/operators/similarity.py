@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.operators.graph import jaccard
+from medlattice.operators.graph import shared_counts
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast
+from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, written
 
 # Prefix rows of one code per (code, salt) task on the indexed side.
 SALT_TARGET = 2048
+# Classes that hold a code whose pairs are all counted, at low thresholds.
+RARE = 64
 
 
 def ranked_sets(pairs: DataFrame, code_cols: tuple[str, ...] = ("kind", "code"), key: str = "patient_id") -> DataFrame:
@@ -39,12 +41,15 @@ def set_classes(pairs: DataFrame, code_cols: tuple[str, ...] = ("kind", "code"),
     return sets.join(classes.select("codes", "class_id"), "codes").select(key, "class_id"), classes
 
 
-def similar_classes(classes: DataFrame, threshold: tuple[int, int], salt_target: int = SALT_TARGET) -> DataFrame:
+def similar_classes(classes: DataFrame, threshold: tuple[int, int], salt_target: int = SALT_TARGET, rare: int = RARE) -> DataFrame:
     """G4/J15 above a threshold: class_1 < class_2, members_1, members_2, similarity for every two classes with
     similarity >= threshold (numerator, denominator; above 0). Members of one class have similarity 1.
 
     With sets ordered by size, the smaller one (size n) shares at least 2t/(1+t) * n codes with the larger one, which shares at
     least t * its own size; that many codes cannot all be behind the prefixes. A code with many indexed prefixes is split by salts.
+    Up to a threshold of 1/3 prefixes are most of a set, and drop few pairs: there, the codes up to the first one of more than ``rare`` classes
+    are counted whole for every two classes, and only the codes from it on go by prefixes. Sets are not moved for a count: a pair
+    is confirmed on the codes from there on alone, if its count and these together can reach the threshold.
     """
     num, den = threshold
     if not 0 < num <= den:
@@ -53,24 +58,38 @@ def similar_classes(classes: DataFrame, threshold: tuple[int, int], salt_target:
     def ceil(value, by):
         return F.floor((value + (by - 1)) / F.lit(by))
 
+    first, rest = 0, True
+    if 3 * num <= den:
+        held = classes.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("d"))
+        hot, last = held.agg(F.min(F.when(F.col("d") > rare, F.col("code"))), F.max("code")).first()
+        first, rest = (hot, True) if hot is not None else ((-1 if last is None else last) + 1, False)
+
     def prefix(least):
         return F.posexplode(F.slice("codes", F.lit(1), (F.col("n") - least + 1).cast("int")))
 
-    small = classes.select(F.col("class_id").alias("a"), F.col("n").alias("na"), prefix(ceil(2 * num * F.col("n"), den + num)).alias("pa", "code"))
-    large = classes.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), prefix(ceil(num * F.col("n"), den)).alias("pb", "code"))
-    ways = small.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_target)).alias("ways")).where("ways > 1")
-    salts = F.coalesce("ways", F.lit(1))
-    small = small.join(maybe_broadcast(ways), "code", "left").withColumn("salt", F.pmod(F.xxhash64("a"), salts)).drop("ways")
-    large = (large.join(maybe_broadcast(ways), "code", "left")
-             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("ways"))
-    most = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    near = ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (den * F.col("na") >= num * F.col("nb"))
-    found = (small.join(large, ["code", "salt"]).where(near & ((den + num) * most >= num * (F.col("na") + F.col("nb"))))
-             .select("a", "b").distinct())
-    sets = classes.select("class_id", "members", "codes")
-    both = (found.join(sets.toDF("a", "ma", "xa"), "a").join(sets.toDF("b", "mb", "xb"), "b")
-            .withColumn("common", F.size(F.array_intersect("xa", "xb")))
-            .where(den * F.col("common") >= num * (F.size("xa") + F.size("xb") - F.col("common"))))
-    first = F.col("a") < F.col("b")
-    return both.select(F.least("a", "b").alias("class_1"), F.greatest("a", "b").alias("class_2"), F.when(first, F.col("ma")).otherwise(F.col("mb")).alias("members_1"),
-                       F.when(first, F.col("mb")).otherwise(F.col("ma")).alias("members_2"), jaccard("xa", "xb").alias("similarity"))
+    found = None
+    if first:
+        found = shared_counts(classes.select("class_id", F.explode("codes").alias("code")).where(F.col("code") < first), "class_id", ["code"], salt_target)
+    if rest:
+        small = classes.select(F.col("class_id").alias("a"), F.col("n").alias("na"), prefix(ceil(2 * num * F.col("n"), den + num)).alias("pa", "code")).where(F.col("code") >= first)
+        large = classes.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), prefix(ceil(num * F.col("n"), den)).alias("pb", "code")).where(F.col("code") >= first)
+        ways = small.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_target)).alias("ways")).where("ways > 1")
+        salts = F.coalesce("ways", F.lit(1))
+        small = small.join(maybe_broadcast(ways), "code", "left").withColumn("salt", F.pmod(F.xxhash64("a"), salts)).drop("ways")
+        large = (large.join(maybe_broadcast(ways), "code", "left")
+                 .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("ways"))
+        most = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
+        near = ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (den * F.col("na") >= num * F.col("nb"))
+        met = (small.join(large, ["code", "salt"]).where(near & ((den + num) * most >= num * (F.col("na") + F.col("nb"))))
+               .select(F.least("a", "b").alias("p1"), F.greatest("a", "b").alias("p2")).distinct().withColumn("i", F.lit(0).cast("long")))
+        found = met if found is None else found.unionByName(met).groupBy("p1", "p2").agg(F.sum("i").alias("i"))
+    tail = F.filter("codes", lambda c: c >= first)
+    sizes = maybe_broadcast(written(classes.select("class_id", "members", "n", F.size(tail).cast("long").alias("tail")), "class-sizes"))
+    both = found.join(sizes.toDF("p1", "m1", "n1", "t1"), "p1").join(sizes.toDF("p2", "m2", "n2", "t2"), "p2")
+    both = both.where((den + num) * (F.col("i") + F.least("t1", "t2")) >= num * (F.col("n1") + F.col("n2")))
+    if rest:
+        tails = classes.select("class_id", tail.alias("x"))
+        both = (both.join(tails.toDF("p1", "x1"), "p1").join(tails.toDF("p2", "x2"), "p2")
+                .withColumn("i", F.col("i") + F.size(F.array_intersect("x1", "x2"))).where((den + num) * F.col("i") >= num * (F.col("n1") + F.col("n2"))))
+    return both.select(F.col("p1").alias("class_1"), F.col("p2").alias("class_2"), F.col("m1").alias("members_1"), F.col("m2").alias("members_2"),
+                       (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity"))

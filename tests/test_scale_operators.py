@@ -218,3 +218,26 @@ def test_unlimited_tree_fits_its_rows(spark):
 
     out = E.queries()["unlimited_tree_predictions"](spark, "/root/testdata/sf0.001")
     assert out.where("prediction = label").count() == out.count() > 0
+
+
+@pytest.mark.parametrize("threshold", [(1, 20), (1, 7), (1, 3), (1, 2)])
+@pytest.mark.parametrize("rare", [1, 5, 64])
+def test_similar_classes_by_counts(spark, threshold, rare):
+    """Rare codes are counted, common ones go by prefixes: the same pairs wherever the line between them is."""
+    rng = np.random.default_rng(8)
+    rows = [(p, f"c{min(rng.integers(40), rng.integers(40))}") for p in range(70) for _ in range(rng.integers(1, 15))]
+    df = spark.createDataFrame(rows, "patient_id long, code string")
+    _, classes = similarity.set_classes(df, code_cols=("code",))
+    want, (num, den) = _classes(_sets(rows)), threshold
+    pairs = {(a, b, want[a][1], want[b][1], len(want[a][0] & want[b][0]) / len(want[a][0] | want[b][0])) for a in want for b in want
+             if a < b and den * len(want[a][0] & want[b][0]) >= num * len(want[a][0] | want[b][0])}
+    got = similarity.similar_classes(classes, threshold, salt_target=4, rare=rare).collect()
+    assert sorted(map(tuple, got)) == sorted(pairs) and len(got) == len(pairs)
+
+
+def test_low_threshold_moves_no_sets(spark):
+    """Sets of rare codes are decided by counts alone: the plan has no whole set in a join."""
+    df = spark.range(300).select((F.col("id") % 30).alias("patient_id"), F.concat(F.lit("c"), F.pmod(F.hash("id"), F.lit(50))).alias("code"))
+    _, classes = similarity.set_classes(df, code_cols=("code",))
+    plan = similarity.similar_classes(classes, (1, 20))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan
