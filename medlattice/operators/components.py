@@ -19,6 +19,8 @@ from medlattice.session import maybe_broadcast, written
 
 # Directions beyond those asked for (a usual choice of the method).
 OVERSAMPLE = 8
+# Up to so many columns, there are as many directions: the first round then finds the whole space, however close the variances are.
+WHOLE = 128
 # Entries of one column index per (index, salt) task where the basis is too large to broadcast.
 SALT_TARGET = 100_000
 
@@ -92,8 +94,10 @@ def principal_components(entries: DataFrame, k: int, key: str = "patient_id", ke
     rows = e.select(key) if keys is None else e.select(key).unionByName(keys.select(key).dropna())
     rows = written(rows.distinct(), "component-rows")
     n = rows.count()
-    width = k + OVERSAMPLE
-    basis, names = e.select("idx").distinct(), _names("q", width)
+    basis = written(e.select("idx").distinct(), "component-columns")
+    columns = basis.count()
+    width = max(k + OVERSAMPLE, columns if columns <= WHOLE else 0)
+    names = _names("q", width)
     # Signs from hashes: the same start however the data are partitioned.
     basis = basis.select("idx", *[(1.0 - 2.0 * F.pmod(F.shiftright(F.xxhash64("idx", F.lit(seed), F.lit(i)), 17), F.lit(2))).alias(q) for i, q in enumerate(names)])
     basis, names = _orthonormal(basis, names, "component-basis")

@@ -78,6 +78,16 @@ def test_components_without_directions(spark):
         assert variances == [] and scores.count() == 0 and comps.count() == 0
 
 
+def test_components_of_close_variances(spark):
+    """75 independent columns, whose variances differ little: few columns settle in two rounds."""
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(300, 75)) * np.linspace(1, 1.1, 75)
+    e = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(300) for j in range(75)], "patient_id long, idx long, value double")
+    _, _, variances = components.principal_components(e, 5, max_rounds=3)
+    s = np.linalg.svd(a - a.mean(axis=0), compute_uv=False)
+    assert np.allclose(variances, s[:5] ** 2 / 299, rtol=1e-9)
+
+
 @pytest.mark.parametrize("n_models", [1, 16, 37])
 def test_many_models(spark, n_models):
     rng = np.random.default_rng(n_models)
