@@ -245,12 +245,38 @@ def random_walk_one_vs_all(vertices: DataFrame, edges: DataFrame, source: int,
 
 def power_iteration_clusters(similarities: DataFrame, k: int = 3, max_iter: int = 100,
                              seed: int | None = None) -> DataFrame:
-    """PIC over (p1, p2, similarity) -> patient_id, cluster."""
-    from pyspark.ml.clustering import PowerIterationClustering
-
-    pic = PowerIterationClustering(k=k, maxIter=max_iter, srcCol="src", dstCol="dst", weightCol="weight")
-    if seed is not None:
-        pic.setInitMode("degree")
-    sims = similarities.select(F.col("p1").alias("src"), F.col("p2").alias("dst"),
-                               F.col("similarity").alias("weight"))
-    return pic.assignClusters(sims).select(F.col("id").alias("patient_id"), "cluster")
+    """PIC over (p1, p2, similarity) -> patient_id, cluster.
+
+    The rounds of Spark's own PIC as joins and sums, so that a task holds no edges: values start at random (with a ``seed``: by degree) with
+    sizes that add up to 1, are averaged over the neighbours by weight and scaled again, until the change between two rounds changes by
+    less than max(1e-5 / vertices, 1e-8), or ``max_iter`` rounds; k-means with seed 0 then places them. The random start is a hash of
+    the id, so reruns agree. The pairs are written once; a round writes one row per vertex. Pairs of an id with itself or with a null are ignored.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    half = written(similarities.select(F.col("p1").cast("long").alias("src"), F.col("p2").cast("long").alias("dst"), F.col("similarity").alias("w"))
+                   .dropna().where("src <> dst"), "pic-pairs")
+    edges = half.unionByName(half.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+    degree = written(edges.groupBy("src").agg(F.sum("w").alias("d")).where("d > 0"), "pic-degrees")
+    unit = (F.pmod(F.xxhash64("src", F.lit(0)), F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
+    angle = F.pmod(F.xxhash64("src", F.lit(1)), F.lit(1 << 53)).cast("double") * (2 * 3.141592653589793 / (1 << 53))
+    start = F.sqrt(-2 * F.log(unit)) * F.cos(angle) if seed is None else F.col("d")
+    state = degree.select(F.col("src").alias("id"), "d", start.alias("raw"), F.lit(0.0).alias("old"))
+    n, scale = state.agg(F.count(F.lit(1)), F.sum(F.abs("raw"))).first()
+    tolerance, before = max(1e-5 / max(n, 1), 1e-8), None
+    state = state.select("id", "d", (F.col("raw") / F.lit(scale)).alias("value"))
+    for _ in range(max_iter if n else 0):
+        sums = (edges.join(maybe_broadcast(state.select(F.col("id").alias("dst"), "value")), "dst")
+                .groupBy(F.col("src").alias("id")).agg(F.sum(F.col("w") * F.col("value")).alias("s")))
+        step = written(sums.join(state, "id").select("id", "d", (F.col("s") / F.col("d")).alias("raw"), F.col("value").alias("old")), "pic-values")
+        scale = step.agg(F.sum(F.abs("raw"))).first()[0]
+        change = step.agg(F.sum(F.abs(F.col("raw") / F.lit(scale) - F.col("old")))).first()[0]
+        state = step.select("id", "d", (F.col("raw") / F.lit(scale)).alias("value"))
+        if before is not None and abs(change - before) < tolerance:
+            break
+        before = change
+    points = state.select(F.col("id").alias("patient_id"), array_to_vector(F.array("value")).alias("features"))
+    if not n:
+        return points.select("patient_id", F.lit(0).alias("cluster"))
+    return KMeans(k=k, seed=0, predictionCol="cluster").fit(points).transform(points).select("patient_id", "cluster")

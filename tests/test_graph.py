@@ -94,3 +94,19 @@ def test_shared_counts_against_brute_force(spark):
     want = sorted((a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b])
     for target in (1, 3, 1000):
         assert sorted(map(tuple, graph.shared_counts(df, "k", ["code"], target).collect())) == want
+
+
+def test_power_iteration_clusters_without_graphx(spark):
+    """Two groups joined by a weak pair come apart, the same at every run and layout; an empty table gives no rows."""
+    rows = [(a, b, 1.0) for g in (range(8), range(20, 28)) for a in g for b in g if a < b] + [(0, 20, 0.01), (3, 3, 5.0), (None, 2, 1.0)]
+    df = spark.createDataFrame(rows, "p1 long, p2 long, similarity double")
+    runs = [sorted(map(tuple, graph.power_iteration_clusters(df.repartition(n), k=2, max_iter=20).collect())) for n in (1, 5)]
+    got = dict(runs[0])
+    assert runs[0] == runs[1] and set(got) == {*range(8), *range(20, 28)}
+    assert len({got[i] for i in range(8)}) == len({got[i] for i in range(20, 28)}) == 1 and got[0] != got[20]
+    assert graph.power_iteration_clusters(df.limit(0), k=2).count() == 0
+
+
+def test_edges_read_records_once(spark):
+    _, e = _toy(spark)
+    assert e._jdf.queryExecution().optimizedPlan().toString().count("max_by") == 1
