@@ -56,9 +56,9 @@ def build_graph(patients: DataFrame, records: DataFrame,
         F.max_by(F.struct(*record_cols), F.struct(*order_cols)).alias("rec"))
     pc = (latest.join(maybe_broadcast(code_index), ["kind", "code"])
           .select(F.col("patient_id").cast("long").alias("p"), (-1 - F.col("_i")).alias("c"), "kind", "rec"))
-    fwd = pc.select(F.col("p").alias("src"), F.col("c").alias("dst"), "kind", "rec.*")
-    back = pc.select(F.col("c").alias("src"), F.col("p").alias("dst"), "kind", "rec.*")
-    return vertices, fwd.unionByName(back)
+    # Both directions from one row: a union would aggregate and join the records twice.
+    ways = F.array(F.struct(F.col("p").alias("src"), F.col("c").alias("dst")), F.struct(F.col("c").alias("src"), F.col("p").alias("dst")))
+    return vertices, pc.select(F.explode(ways).alias("e"), "kind", "rec").select("e.*", "kind", "rec.*")
 
 
 def patient_code_pairs(edges: DataFrame) -> DataFrame:
