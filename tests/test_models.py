@@ -88,3 +88,14 @@ def test_folds_cover(spark):
     s = models.random_splits(rows, 3, 0.2)
     assert s.count() == 3000
     assert s.where(F.col("split") == "test").count() < 900
+
+
+def test_fits_read_written_tables(spark):
+    """What a fit reads again and again is a table of files: its plan repeats neither joins nor aggregates."""
+    from medlattice.plans import metric_queries, model_queries
+    from medlattice.plans.registry import Fixture
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    for df in (model_queries._feature_vectors(fx), model_queries._patient_vectors(fx), model_queries._bag_samples(fx), metric_queries._scored(fx)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+        assert "Join" not in plan and "InMemoryRelation" not in plan and df.count() > 0
