@@ -11,6 +11,7 @@ from medlattice.functions.scalars import argmax_index, stable_uniform, stable_un
 from medlattice.operators import cohort, metrics
 from medlattice.plans.fixture_sql import with_views
 from medlattice.plans.registry import query
+from medlattice.session import written
 from medlattice.sources import fixtures as sfx
 
 FOLDS = 5
@@ -20,7 +21,7 @@ THRESHOLD = 0.5
 
 def _scored(fx):
     """label (dead=1), score = events / max events, prediction = score >= 0.5."""
-    prof = cohort.patient_profile(fx.events, fx.mortality)
+    prof = written(cohort.patient_profile(fx.events, fx.mortality), "profiles")
     top = prof.agg(F.max("event_count").alias("_max"))
     s = metrics.attach_row(prof, top)
     return s.select("patient_id", (F.col("cohort") == cohort.DEAD).cast("int").alias("label"),
