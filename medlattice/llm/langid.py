@@ -22,6 +22,8 @@ from medlattice.llm.common import mix64, settle, text_slices
 
 UNDETERMINED = "und"
 SIZES = (3, 4)
+# Grams that a task holds while it counts.
+_MOST_HELD = 1 << 21
 _letters: np.ndarray | None = None
 
 
@@ -143,17 +145,22 @@ def fit_language_filter(df: DataFrame, text_col: str, lang_col: str, id_col: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for a, texts in text_slices(batch.column(0), 1 << 21):  # fewer rows for the shuffle than from smaller slices
+            seen, held = {}, 0
+            # Hashed in small slices, counted over many texts: fewer rows for the shuffle than from each slice.
+            for a, texts in text_slices(batch.column(0)):
                 h, starts, _ = grams(texts, sizes)
-                seen = {}
                 for k in range(len(texts)):
                     own = np.unique(np.concatenate([h[row[k]:row[k + 1]] for row in starts]))
                     seen.setdefault(index[langs[a + k]], []).append(own)
+                    held += len(own)
+                if held < _MOST_HELD and a + len(texts) < len(langs):
+                    continue
                 for i, parts in seen.items():
                     v, c = np.unique(np.concatenate(parts), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(v.view(np.int64)), pa.array(np.full(len(v), i, np.int32)), pa.array(c.astype(np.int64))],
                         names=["gram", "lang", "n"])
+                seen, held = {}, 0
 
     counted = known.where(taken).select("text", "lang").mapInArrow(count, "gram long, lang int, n long")
     shares = [F.sum(F.when(F.col("lang") == i, F.col("n")).otherwise(0)) / float(sizes_by[x]) for i, x in enumerate(languages)]
