@@ -35,6 +35,12 @@ def jaccard(a: Column | str, b: Column | str) -> Column:
     return safe_ratio(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
 
 
+def jaccard_of_counts(shared: Column | str, n1: Column | str, n2: Column | str) -> Column:
+    """G2 of two sets of n1 and n2 elements that share ``shared``."""
+    shared, n1, n2 = (F.col(c) if isinstance(c, str) else c for c in (shared, n1, n2))
+    return safe_ratio(shared, n1 + n2 - shared)
+
+
 def build_graph(patients: DataFrame, records: DataFrame,
                 order_cols: tuple[str, ...] = ("date", "encounter_id", "linenumber"),
                 record_cols: tuple[str, ...] = ("date", "value")) -> tuple[DataFrame, DataFrame]:
@@ -144,7 +150,7 @@ def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct
     inter = (shared_counts(e, "patient_id", code_cols, salt_target)
              .join(deg.select(F.col("patient_id").alias("p1"), F.col("_n").alias("n1")), "p1")
              .join(deg.select(F.col("patient_id").alias("p2"), F.col("_n").alias("n2")), "p2"))
-    return inter.select("p1", "p2", (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity"))
+    return inter.select("p1", "p2", jaccard_of_counts("i", "n1", "n2").alias("similarity"))
 
 
 def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: int = 100,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.operators.graph import shared_counts
+from medlattice.operators.graph import jaccard_of_counts, shared_counts
 from medlattice.operators.indexing import dense_index
 from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, written
 
@@ -92,4 +92,4 @@ def similar_classes(classes: DataFrame, threshold: tuple[int, int], salt_target:
         both = (both.join(tails.toDF("p1", "x1"), "p1").join(tails.toDF("p2", "x2"), "p2")
                 .withColumn("i", F.col("i") + F.size(F.array_intersect("x1", "x2"))).where((den + num) * F.col("i") >= num * (F.col("n1") + F.col("n2"))))
     return both.select(F.col("p1").alias("class_1"), F.col("p2").alias("class_2"), F.col("m1").alias("members_1"), F.col("m2").alias("members_2"),
-                       (F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))).alias("similarity"))
+                       jaccard_of_counts("i", "n1", "n2").alias("similarity"))
