@@ -21,7 +21,8 @@ THRESHOLD = 0.5
 
 def _scored(fx):
     """label (dead=1), score = events / max events, prediction = score >= 0.5."""
-    prof = written(cohort.patient_profile(fx.events, fx.mortality), "profiles")
+    # Only what is read below: the other columns of a profile take a shuffle of their own.
+    prof = written(cohort.patient_profile(fx.events, fx.mortality).select("patient_id", "cohort", "event_count"), "profiles")
     top = prof.agg(F.max("event_count").alias("_max"))
     s = metrics.attach_row(prof, top)
     return s.select("patient_id", (F.col("cohort") == cohort.DEAD).cast("int").alias("label"),
