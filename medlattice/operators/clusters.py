@@ -21,7 +21,8 @@ def class_graph(pairs: DataFrame, patients: DataFrame, threshold: tuple[int, int
     members, classes = similarity.set_classes(pairs, code_cols)
     alone = patients.select(F.col("patient_id").cast("long")).dropna().distinct().join(members.select("patient_id"), "patient_id", "left_anti")
     members = members.unionByName(alone.withColumn("class_id", F.col("patient_id")))
-    vertices = classes.select("class_id", "members").unionByName(alone.select(F.col("patient_id").alias("class_id"), F.lit(1).cast("long").alias("members")))
+    vertices = written(classes.select("class_id", "members").unionByName(
+        alone.select(F.col("patient_id").alias("class_id"), F.lit(1).cast("long").alias("members"))), "class-vertices")
     near = written(similarity.similar_classes(classes, threshold), "similar-classes")
     half = near.select(F.col("class_1").alias("src"), F.col("class_2").alias("dst"), (F.col("similarity") * F.col("members_2")).alias("w"))
     back = near.select(F.col("class_2").alias("src"), F.col("class_1").alias("dst"), (F.col("similarity") * F.col("members_1")).alias("w"))
@@ -89,7 +90,7 @@ def threshold_clusters(pairs: DataFrame, patients: DataFrame, threshold: tuple[i
                        code_cols: tuple[str, ...] = ("kind", "code"), max_rounds: int = 100, tolerance: float = 1e-5) -> DataFrame:
     """patient_id, cluster for every patient, by power iteration over the graph of similarities of at least ``threshold``."""
     members, vertices, edges = class_graph(pairs, patients, threshold, code_cols)
-    members, vertices = written(members, "class-members"), written(vertices, "class-vertices")
+    members = written(members, "class-members")
     values = power_iteration_values(edges, start_values(vertices, seed), max_rounds, tolerance)
     placed = clusters_on_line(written(values.join(vertices, "class_id"), "power-final"), k)
     return members.join(placed.select("class_id", "cluster"), "class_id").select("patient_id", "cluster")

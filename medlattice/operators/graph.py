@@ -117,6 +117,12 @@ def shared_counts(pairs: DataFrame, key: str, code_cols: list[str], salt_target:
     """
     code_cols = list(code_cols)
     e = pairs.select(F.col(key).alias("_p"), *code_cols).dropna()
+    kind, low = e.schema["_p"].dataType, None
+    if kind.typeName() == "long":  # most of what is shuffled are these keys: as ints, if their range allows
+        ends = e.agg(F.min("_p").alias("low"), F.max("_p").alias("high")).first()
+        if ends.low is not None and ends.high - ends.low < 1 << 31:
+            low = ends.low
+            e = e.withColumn("_p", (F.col("_p") - F.lit(low)).cast("int"))
     ways = (e.groupBy(*code_cols).agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_target)).alias("_ways")).where(F.col("_ways") > 1))
     block = F.pmod(F.xxhash64("_p"), F.coalesce("_ways", F.lit(1)))
     lists = (e.join(maybe_broadcast(ways), code_cols, "left").withColumn("_b", block)
@@ -129,7 +135,8 @@ def shared_counts(pairs: DataFrame, key: str, code_cols: list[str], salt_target:
     sides = [two.select(F.explode(x).alias("p1"), F.col(y).alias("_o")).select("p1", F.expr("filter(_o, o -> o > p1)").alias("_others"))
              for x, y in (("_x", "_y"), ("_y", "_x"))]
     sent = own.unionByName(sides[0]).unionByName(sides[1]).where(F.size("_others") > 0).repartition("p1")
-    return sent.select("p1", F.explode("_others").alias("p2")).groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("i"))
+    counts = sent.select("p1", F.explode("_others").alias("p2")).groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("i"))
+    return counts if low is None else counts.select(*[(F.col(c).cast(kind) + F.lit(low).cast(kind)).alias(c) for c in ("p1", "p2")], "i")
 
 
 def jaccard_all_pairs(pairs: DataFrame, salt_target: int = SALT_TARGET, distinct_input: bool = False,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from medlattice.operators.graph import jaccard_of_counts, shared_counts
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, written
+from medlattice.session import maybe_broadcast, written
 
 # Prefix rows of one code per (code, salt) task on the indexed side.
 SALT_TARGET = 2048
@@ -25,7 +25,7 @@ RARE = 64
 def ranked_sets(pairs: DataFrame, code_cols: tuple[str, ...] = ("kind", "code"), key: str = "patient_id") -> DataFrame:
     """key, codes: each key's distinct codes as ascending ranks (rarest first, ties by code). Rows with a null key or code are ignored."""
     cols = list(code_cols)
-    e = pairs.select(key, *cols).dropna().distinct()
+    e = written(pairs.select(key, *cols).dropna().distinct(), "key-codes")  # read twice: for the ranks and for the sets
     ranks = dense_index(e.groupBy(*cols).agg(F.count(F.lit(1)).alias("_d")), ["_d", *cols], "_rank")
     return (e.join(maybe_broadcast(ranks.drop("_d")), cols)
             .groupBy(key).agg(F.array_sort(F.collect_list("_rank")).alias("codes")))
@@ -34,11 +34,12 @@ def ranked_sets(pairs: DataFrame, code_cols: tuple[str, ...] = ("kind", "code"),
 def set_classes(pairs: DataFrame, code_cols: tuple[str, ...] = ("kind", "code"), key: str = "patient_id") -> tuple[DataFrame, DataFrame]:
     """(members, classes): key, class_id for every key with a code, and class_id, members, n, codes for every distinct
     set; class_id is the smallest key of the set. Keys without a code are in no class."""
-    ensure_checkpoint_dir(pairs.sparkSession)
-    sets = ranked_sets(pairs, code_cols, key).checkpoint()
-    classes = sets.groupBy("codes").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("members")).select(
-        "class_id", "members", F.size("codes").cast("long").alias("n"), "codes").checkpoint()
-    return sets.join(classes.select("codes", "class_id"), "codes").select(key, "class_id"), classes
+    sets = written(ranked_sets(pairs, code_cols, key), "key-sets")
+    classes = written(sets.groupBy("codes").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("members")).select(
+        "class_id", "members", F.size("codes").cast("long").alias("n"), "codes"), "set-classes")
+    # Written, since callers read the members more than once: the whole sets would be joined each time.
+    members = written(sets.join(classes.select("codes", "class_id"), "codes").select(key, "class_id"), "class-members")
+    return members, classes
 
 
 def similar_classes(classes: DataFrame, threshold: tuple[int, int], salt_target: int = SALT_TARGET, rare: int = RARE) -> DataFrame:

@@ -110,3 +110,12 @@ def test_power_iteration_clusters_without_graphx(spark):
 def test_edges_read_records_once(spark):
     _, e = _toy(spark)
     assert e._jdf.queryExecution().optimizedPlan().toString().count("max_by") == 1
+
+
+def test_shared_counts_far_apart_keys(spark):
+    """Keys whose range is beyond an int are counted as well; close ones are shuffled as ints."""
+    for keys, kind in (((1 << 40, (1 << 40) + 5), "int"), ((-(1 << 62), 1 << 62), "bigint")):
+        df = spark.createDataFrame([(k, c) for k in keys for c in (1, 2)], "k long, code long")
+        out = graph.shared_counts(df, "k", ["code"])
+        assert [tuple(r) for r in out.collect()] == [(*keys, 2)] and dict(out.dtypes)["p1"] == "bigint"
+        assert ("cast(p1#" in out._jdf.queryExecution().optimizedPlan().toString()) == (kind == "int")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
-from medlattice.operators import clusters, components, models, scoring, vectors
+from medlattice.operators import clusters, components, models, scoring, similarity, vectors
 from medlattice.sources import artefacts
 
 
@@ -149,3 +149,12 @@ def test_published_versions(spark, tmp_path):
     assert artefacts.publish_model(spark, model, root, "model") == 1
     again = artefacts.read_model(spark, root, "model")
     assert models.predictions_frame(again, data).collect() == models.predictions_frame(model, data).collect()
+
+
+def test_class_graph_builds_sets_once(spark):
+    """The records are read by one step that is written; members and vertices are plain scans, however often they are used."""
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "a"), (3, "b")], "patient_id long, code string")
+    members, vertices, _ = clusters.class_graph(df, df.select("patient_id"), (1, 2), ("code",))
+    assert "Join" not in vertices._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in similarity.set_classes(df, ("code",))[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, members.collect())) == [(1, 1), (2, 2), (3, 1)]
