@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import safe_ratio
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, written
+from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, proven_small, written
 
 PATIENT = "patient"
 # Keys of one code in one list of the all-pairs count.
@@ -26,6 +26,10 @@ EDGE_SALT_TARGET = 100_000
 # Cached weighted edges per partition in the random-walk loop (measured: ~150k
 # edges per task balances per-round task overhead and parallelism).
 EDGES_PER_PARTITION = 150_000
+# Blocks of far vertices in the walk between two sides, at most so many edges of one way in each: a round shuffles each near vertex once a block at
+# most, so their number does not follow the edges below this size.
+WALK_BLOCKS = 32
+EDGES_PER_BLOCK = 4_000_000
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:
@@ -187,9 +191,16 @@ def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: in
     planning a longer chain costs more than the small checkpoint write).
     AQE is switched off inside the loop only, so the cached edge
     partitioning is kept.
+
+    If every edge goes between vertices below 0 and others (patients and codes, as :func:`build_graph` numbers them), and no vertex on
+    the side away from the source is hot, :func:`_walk_between_sides` does the same rounds with far smaller shuffles.
     """
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    edges = written(edges.select("src", "dst"), "walk-edges")  # read several times: the graph would be built each time
+    if edges.where((F.col("src") < 0) == (F.col("dst") < 0)).isEmpty():
+        ranks = _walk_between_sides(vertices, edges, source, num_iter, alpha, salt_target)
+        if ranks is not None:
+            return _with_ranks(vertices, ranks)
     outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
     n_salts = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(salt_target))).cast("int")
     # one row from the degree table: is any vertex hot, and how many edges
@@ -239,11 +250,70 @@ def random_walk(vertices: DataFrame, edges: DataFrame, source: int, num_iter: in
         if salts is not None:
             salts.unpersist()
         seed.unpersist()
+    return _with_ranks(vertices, ranks)
+
+
+def _with_ranks(vertices: DataFrame, ranks: DataFrame) -> DataFrame:
     return (vertices.select("vertex_id", "kind")
             .join(ranks.withColumnRenamed("vid", "vertex_id"), "vertex_id", "left")
             .select("vertex_id", "kind", F.coalesce("rank", F.lit(0.0)).alias("rank")))
 
 
+def _walk_between_sides(vertices: DataFrame, edges: DataFrame, source: int, num_iter: int, alpha: float, salt_target: int) -> DataFrame | None:
+    """(vid, rank) of :func:`random_walk` where each edge joins the source's side (near) and the other one (far); None if a far vertex is hot or
+    the near ranks are too many to be broadcast.
+
+    A side's ranks of a round follow from the other side's of the round before. All far ranks are 0 at the start, so round 1 leaves the near
+    ranks as they are, round 2 changes them, and so on: round 2k + 1 gives the near side nothing new, nor round 2k the far side, and two
+    rounds are one step from near to near. Both ways' edges are cached in blocks by their far vertex: the far ranks are made and used inside a
+    block and never shuffled; what is shuffled is one partial sum per near vertex and block. The near ranks, one small row per
+    vertex, are written each step (which cuts the lineage) and broadcast.
+    """
+    spark = edges.sparkSession
+    near = (lambda c: F.col(c) >= 0) if source >= 0 else (lambda c: F.col(c) < 0)
+    outdeg = written(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg")), "walk-degrees")
+    w_edges = edges.select("src", "dst").join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"))
+    from_near = w_edges.where(near("src")).select(F.col("src").alias("vid"), F.col("dst").alias("far"), "w")
+    to_near = w_edges.where(near("dst")).select(F.col("src").alias("far"), F.col("dst").alias("vid"), "w")
+    seed = written(vertices.where(F.col("vertex_id") == source).select(F.col("vertex_id").alias("vid"), F.lit(alpha).alias("rank")), "walk-ranks")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    n_edges = outdeg.agg(F.sum("_deg")).first()[0] or 0
+    n = min(int(prev_parts), max(WALK_BLOCKS, -(-n_edges // (2 * EDGES_PER_BLOCK))))
+    cached = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        from_near, to_near = (e.repartition(n, "far").persist() for e in (from_near, to_near))
+        cached = [from_near, to_near]
+        hot = [e.groupBy("far").agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0 for e in cached]
+        if max(hot) > salt_target or not proven_small(written(to_near.select("vid").distinct().withColumn("rank", F.lit(alpha)), "walk-near")):
+            return None
+
+        def far_ranks(x: DataFrame) -> DataFrame:
+            met = from_near.join(F.broadcast(x), "vid")
+            return met.groupBy("far").agg(((1.0 - alpha) * F.sum(F.col("rank") * F.col("w"))).alias("rank"))
+
+        def two_rounds(x: DataFrame) -> DataFrame:
+            met = to_near.join(far_ranks(x).hint("shuffle_hash"), "far").select("vid", (F.col("rank") * F.col("w")).alias("m"))
+            summed = met.unionByName(seed.select("vid", F.lit(0.0).alias("m"))).groupBy("vid").agg(F.sum("m").alias("s"))
+            return written(summed.select("vid", ((1.0 - alpha) * F.col("s") + F.when(F.col("vid") == source, F.lit(alpha)).otherwise(F.lit(0.0)))
+                                         .alias("rank")), "walk-ranks")
+
+        x, before = seed, None
+        for _ in range(num_iter // 2):
+            x, before = two_rounds(x), x
+        if num_iter:
+            y = written(far_ranks(x if num_iter % 2 else before).select(F.col("far").alias("vid"), "rank"), "walk-ranks")
+            x = x.unionByName(y)
+        return x
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
+        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
+        for e in cached:
+            e.unpersist()
+
+
 def random_walk_one_vs_all(vertices: DataFrame, edges: DataFrame, source: int,
                            num_iter: int = 100, alpha: float = 0.15) -> DataFrame:
     """Every other patient with its walk probability and its position

@@ -112,6 +112,25 @@ def test_edges_read_records_once(spark):
     assert e._jdf.queryExecution().optimizedPlan().toString().count("max_by") == 1
 
 
+def test_walk_between_sides(spark):
+    """The far side's ranks are never shuffled: every number of rounds and both sides as the source equal brute force; other graphs take the general way."""
+    rng = np.random.default_rng(4)
+    both = [(p, -c) for p in range(1, 9) for c in range(1, 7) if rng.random() < 0.5]
+    edges = [*both, *[(c, p) for p, c in both if rng.random() < 0.8]]
+    ids = [*range(10), *range(-7, 0)]
+    v = spark.createDataFrame([(i, "x") for i in ids], "vertex_id long, kind string")
+    for source, rounds in ((3, 0), (3, 1), (3, 4), (-2, 5), (9, 2)):
+        df = spark.createDataFrame(edges, "src long, dst long")
+        got = {r.vid: r.rank for r in graph._walk_between_sides(v, df, source, rounds, 0.2, 100).collect()}
+        want = _brute_walk(ids, edges, source, rounds, 0.2)
+        assert all(abs(got.get(k, 0.0) - want[k]) < 1e-12 for k in ids) and set(got) <= set(ids)
+    assert graph._walk_between_sides(v, df, 3, 4, 0.2, 1) is None  # hot codes
+    mixed = [*edges, (1, 2), (2, 9)]
+    got = {r.vertex_id: r.rank for r in graph.random_walk(v, spark.createDataFrame(mixed, "src long, dst long"), 3, 4, 0.2).collect()}
+    want = _brute_walk(ids, mixed, 3, 4, 0.2)
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in ids)
+
+
 def test_shared_counts_far_apart_keys(spark):
     """Keys whose range is beyond an int are counted as well; close ones are shuffled as ints."""
     for keys, kind in (((1 << 40, (1 << 40) + 5), "int"), ((-(1 << 62), 1 << 62), "bigint")):
