@@ -235,7 +235,37 @@ def _compare(members: DataFrame, sketch: DataFrame, percent: int, coordinates: i
     test = ((F.col("x.node") == F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
             & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & _sketch_test(percent, coordinates, "x", "y"))
-    return x.join(merged(y), test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    differ = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(4)), F.lit(0)).alias("differ")
+    return x.join(merged(y), test).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), differ)
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) of different components, with these as ca and cb. ``known``: (node, component) of every set."""
+    for x in ("a", "b"):
+        pairs = pairs.join(merged(known.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))), x)
+    return pairs.where("ca != cb")
+
+
+def _united(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` after further links (ca, cb) between its components."""
+    above = connected_components(links.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    above = above.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    return settle(known.join(merged(above), "component", "left").select("node", F.coalesce("above", "component").alias("component")), "components")
+
+
+def _joining(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``known`` (node, component) after the alike ones of the pairs (a, b, differ), without confirming all pairs of two components.
+
+    Of the pairs between the same two components, the one whose sketches differ least is confirmed first. If it is alike, the two are one
+    component and their other pairs are not needed; all pairs between components that are still apart then are confirmed.
+    """
+    pairs = settle(_apart(pairs, known), "apart")
+    first = (pairs.groupBy(F.least("ca", "cb").alias("c"), F.greatest("ca", "cb").alias("d"))
+             .agg(F.min(F.struct("differ", "a", "b")).alias("first")).select("first.a", "first.b"))
+    first = settle(first, "pairs")
+    known = _united(known, _apart(_confirm(first, texts, words, percent), known))
+    rest = settle(_apart(pairs.select("a", "b").join(merged(first), ["a", "b"], "left_anti"), known).select("a", "b"), "pairs")
+    return _united(known, _apart(_confirm(rest, texts, words, percent), known))
 
 
 def _pooled(nodes: DataFrame) -> DataFrame:
@@ -451,14 +481,13 @@ def _components(rows: DataFrame, words: int, percent: int, recall: float) -> Dat
     for c in compared[1:]:
         more = more.union(c)
     more = settle(more.distinct(), "pairs")
-    links.append(_confirm(more, texts, words, percent))
     every = links[0]
     for found in links[1:]:
         every = every.union(found)
-    components = connected_components(settle(every.distinct(), "links"))
-
-    named = classes.select("s1", "s2", "id").join(merged(components.withColumnRenamed("node", "id")), "id", "left").select(
-        "s1", "s2", F.coalesce("component", "id").alias("component"))
+    known = connected_components(settle(every.distinct(), "links")).withColumnRenamed("node", "id")
+    known = settle(classes.select("id").join(merged(known), "id", "left").select(F.col("id").alias("node"), F.coalesce("component", "id").alias("component")), "components")
+    known = _joining(more, known, texts, words, percent)
+    named = classes.select("s1", "s2", "id").join(merged(known.withColumnRenamed("node", "id")), "id").select("s1", "s2", "component")
     out = sets.select("id", "own", "n_shingles", "s1", "s2").join(merged(settle(named, "components")), ["s1", "s2"], "left")
     return out.select("id", "own", "n_shingles", F.coalesce("component", "id").alias("component"))
 

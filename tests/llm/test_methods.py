@@ -252,3 +252,22 @@ def test_near_duplicates_of_a_whole_table(spark):
         for a, b in moved:
             label[a] = label[b] = min(label[a], label[b])
     assert links and {i: (r.component_id, r.kept, r.n_shingles) for i, r in out.items()} == {i: (label[i], label[i] == i, len(sets[i])) for i in sets}
+
+
+def test_near_duplicates_confirm_one_pair_per_two_components(spark, monkeypatch):
+    """Two groups that all alike pairs join: one pair is confirmed, and the others are not needed; where it is not alike, the others decide."""
+    words = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(words + [f"x{i}"]) for i in range(12)} | {20: " ".join(words[:25] + [f"y{i}" for i in range(40)])}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    known = spark.createDataFrame([(i, 0 if i < 6 else 6) for i in range(12)] + [(20, 20)], "node long, component long")
+    pairs = [(a, b, 1) for a in range(6) for b in range(6, 12)] + [(a, 20, 2) for a in range(6)]
+    counts, plain = [], chosen_path._confirm
+
+    def confirm(pairs, *args):
+        counts.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(chosen_path, "_confirm", confirm)
+    out = chosen_path._joining(spark.createDataFrame(pairs, "a long, b long, differ int"), known, docs, 3, 80)
+    assert dict(map(tuple, out.collect())) == {**{i: 0 for i in range(12)}, 20: 20}
+    assert counts == [2, 5]
