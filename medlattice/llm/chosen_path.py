@@ -4,7 +4,8 @@ A text's set is its distinct shingles of words. Every tree starts with all
 sets and branches recursively by minwise tokens (coordinates of the sets' minhash signatures). The first node branches by HEAD
 tokens in a row, so that few sets meet by chance; a node below picks two tokens, and a set goes to the child named by its
 token at each of them. A node that is small, that holds few sets outside its
-main component, or a good part of which is one component, is compared exhaustively; the others branch on. Trees are independent and repeated until
+main component, or a good part of which is one component, is compared exhaustively; the others branch once more, and what is large
+then is compared as well: a set is in two children, so that a group that no token splits would double with every further level. Trees are independent and repeated until
 the expected share of missed pairs at the threshold is below the target.
 
 To stay linear within groups of copies: equal sets are one class; each set is first held against the smallest id
@@ -28,7 +29,8 @@ from medlattice.llm.common import merged, mix64, settle, text_slices, word_hashe
 from medlattice.llm.components import connected_components
 
 HEAD = 3
-DEPTH = 4
+# Levels. Rows below the first are at most 2 ** (DEPTH - 1) times its own.
+DEPTH = 2
 LEAF = 32
 DENSE = 4
 CORE_OF = 15

@@ -271,3 +271,20 @@ def test_near_duplicates_confirm_one_pair_per_two_components(spark, monkeypatch)
     out = chosen_path._joining(spark.createDataFrame(pairs, "a long, b long, differ int"), known, docs, 3, 80)
     assert dict(map(tuple, out.collect())) == {**{i: 0 for i in range(12)}, 20: 20}
     assert counts == [2, 5]
+
+
+def test_near_duplicates_rows_of_all_levels_stay_near_the_first(spark, monkeypatch):
+    """Texts with a common passage that are no near-duplicates stay together at every level; each level doubled their rows."""
+    common = " ".join(f"c{i}" for i in range(150))
+    texts = {i: f"{common} " + " ".join(f"x{i}_{j}" for j in range(30)) for i in range(40)} | {50: f"{common} " + " ".join(f"x7_{j}" for j in range(28))}
+    rows, plain = [], chosen_path._members
+
+    def members(nodes):
+        rows.append(nodes.count())
+        return plain(nodes)
+
+    monkeypatch.setattr(chosen_path, "_members", members)
+    monkeypatch.setattr(chosen_path, "LEAF", 2)
+    out = chosen_path.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), words=3, percent=85)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {**{i: i for i in range(40)}, 50: 7}
+    assert rows[0] > 200 and sum(rows) <= 3 * rows[0]
