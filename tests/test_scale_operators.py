@@ -113,6 +113,24 @@ def test_tree_deeper_than_thirty(spark):
         models.decision_tree(df, max_depth=31)
 
 
+@pytest.mark.parametrize("few", [0, 7, 60])
+def test_tree_leaves_the_levels_at_few_rows(spark, monkeypatch, few):
+    """The same tree wherever nodes leave the levels; levels stop when all have."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, size=(120, 3)).astype(float).tolist()
+    y = [int(v) for v in rng.integers(0, 2, 120)]
+    df = spark.createDataFrame([(i, r, v) for i, (r, v) in enumerate(zip(x, y))], "id long, features array<double>, label int")
+    levels, plain = [], trees.written
+    monkeypatch.setattr(trees, "written", lambda t, name: levels.append(name) or plain(t, name))
+    nodes = plain(trees.grow_tree(df, few=few), "nodes")
+    brute, order = _brute_tree(x, y), lambda t: tuple((v is None, v) for v in t)
+    assert sorted((tuple(r) for r in nodes.select("depth", "n", "positives", "feature", "threshold").collect()), key=order) == sorted(brute, key=order)
+    assert levels.count("tree-level") == 1 + max((t[0] + 1 for t in brute if t[1] > few and t[3] is not None), default=0)
+    monkeypatch.setattr(trees, "written", plain)
+    ends = trees.tree_predictions(nodes, df, "id")
+    assert ends.count() == 120 and plain(trees.grow_tree(df, max_depth=2, few=few), "nodes").agg(F.max("depth")).first()[0] == 2
+
+
 def _update(centers, weights, points, decay, unit):
     a = decay if unit == "batches" else decay ** len(points)
     near = [int(np.argmin([((p - c) ** 2).sum() for c in centers])) for p in points]
