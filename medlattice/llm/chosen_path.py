@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import merged, mix64, settle, text_slices, word_hashes
+from medlattice.llm.common import map_arrow, merged, mix64, settle, text_slices, word_hashes
 from medlattice.llm.components import connected_components
 
 HEAD = 3
@@ -151,7 +151,7 @@ def set_rows(df: DataFrame, words: int, trees: int) -> DataFrame:
                     lists(keys.view(np.int64), pa.int64())],
                     names=["id", "own", "n_shingles", "s1", "s2", "b0", "b1", "b2", "b3", "keys"])
 
-    return df.select("id", "text", "own").mapInArrow(build, SETS)
+    return map_arrow(df.select("id", "text", "own"), build, SETS)
 
 
 def full_sets(df: DataFrame, words: int) -> DataFrame:
@@ -165,7 +165,7 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
                     [batch.column(0).slice(a, len(texts)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))],
                     names=["id", "shingles"])
 
-    return df.select("id", "text").mapInArrow(build, "id long, shingles array<long>")
+    return map_arrow(df.select("id", "text"), build, "id long, shingles array<long>")
 
 
 def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -194,7 +194,7 @@ def deep_tokens(sets: DataFrame, coordinates: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, n), pa.ListArray.from_arrays(at, pa.array(sig.reshape(-1)))], names=["id", "deep"])
 
-    return sets.select("id", "shingles").mapInArrow(build, "id long, deep array<short>")
+    return map_arrow(sets.select("id", "shingles"), build, "id long, deep array<short>")
 
 
 def _sketch_test(percent: int, coordinates: int, a: str, b: str):
@@ -306,7 +306,7 @@ def _repeated_only(sets: DataFrame) -> DataFrame:
             once |= x
         return pa.table({"block": block["block"][:1], "twice": pa.array([twice.tobytes()])})
 
-    marked = sets.select("node", "diff").mapInArrow(mark, "block int, once binary, twice binary").groupBy("block").applyInArrow(merge, "block int, twice binary")
+    marked = map_arrow(sets.select("node", "diff"), mark, "block int, once binary, twice binary").groupBy("block").applyInArrow(merge, "block int, twice binary")
     twice = np.zeros(size // 8, np.uint8).reshape(blocks, -1)
     for r in marked.collect():
         twice[r["block"]] = np.frombuffer(r["twice"], np.uint8)
@@ -323,7 +323,7 @@ def _repeated_only(sets: DataFrame) -> DataFrame:
             short = pa.ListArray.from_arrays(pa.array(ends), diff.flatten().filter(pa.array(stays)))
             yield pa.RecordBatch.from_arrays([short if c == "diff" else batch.column(i) for i, c in enumerate(names)], names=names)
 
-    return sets.mapInArrow(keep, sets.schema)
+    return map_arrow(sets, keep, sets.schema)
 
 
 def _compare_by_difference(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:

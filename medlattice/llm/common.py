@@ -43,6 +43,15 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, task, schema) -> DataFrame:  # noqa: ANN001
+    """``df.mapInArrow`` in batches of at most some 2 MB. Spark's own bound is 10,000 rows: tens of MB of texts, held several
+    times over by the executor's buffers and by its worker. Set for the session, unless it has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key, None) is None:
+        df.sparkSession.conf.set(key, "2m")
+    return df.mapInArrow(task, schema)
+
+
 def merged(df: DataFrame) -> DataFrame:
     """``df`` as a side of a join by shuffles at every size. For tables that grow with the input: files of few
     distinct values are small, so Spark would broadcast tables that are many times their size in memory."""

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import mix64, settle, text_slices
+from medlattice.llm.common import map_arrow, mix64, settle, text_slices
 
 UNDETERMINED = "und"
 SIZES = (3, 4)
 # Grams that a task holds while it counts.
-_MOST_HELD = 1 << 21
+_MOST_HELD = 1 << 20
 _letters: np.ndarray | None = None
 
 
@@ -143,9 +143,17 @@ def fit_language_filter(df: DataFrame, text_col: str, lang_col: str, id_col: str
     index = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held = {}, 0
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            for i, parts in seen.items():
+                v, c = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v.view(np.int64)), pa.array(np.full(len(v), i, np.int32)), pa.array(c.astype(np.int64))],
+                    names=["gram", "lang", "n"])
+
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            seen, held = {}, 0
             # Hashed in small slices, counted over many texts: fewer rows for the shuffle than from each slice.
             for a, texts in text_slices(batch.column(0)):
                 h, starts, _ = grams(texts, sizes)
@@ -153,16 +161,12 @@ def fit_language_filter(df: DataFrame, text_col: str, lang_col: str, id_col: str
                     own = np.unique(np.concatenate([h[row[k]:row[k + 1]] for row in starts]))
                     seen.setdefault(index[langs[a + k]], []).append(own)
                     held += len(own)
-                if held < _MOST_HELD and a + len(texts) < len(langs):
-                    continue
-                for i, parts in seen.items():
-                    v, c = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v.view(np.int64)), pa.array(np.full(len(v), i, np.int32)), pa.array(c.astype(np.int64))],
-                        names=["gram", "lang", "n"])
-                seen, held = {}, 0
-
-    counted = known.where(taken).select("text", "lang").mapInArrow(count, "gram long, lang int, n long")
+                if held >= _MOST_HELD:
+                    yield from counts()
+                    seen, held = {}, 0
+        yield from counts()
+
+    counted = map_arrow(known.where(taken).select("text", "lang"), count, "gram long, lang int, n long")
     shares = [F.sum(F.when(F.col("lang") == i, F.col("n")).otherwise(0)) / float(sizes_by[x]) for i, x in enumerate(languages)]
     by_gram = counted.groupBy("gram").agg(*[s.alias(f"s{i}") for i, s in enumerate(shares)])
     top = F.greatest(*[F.col(f"s{i}") for i in range(len(languages))]) if len(languages) > 1 else F.col("s0")
@@ -181,7 +185,7 @@ def fit_language_filter(df: DataFrame, text_col: str, lang_col: str, id_col: str
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.tile(batch.column(1).to_numpy(), hashes))],
                                              names=["slot", "mask"])
 
-    placed = settle(members.mapInArrow(place, "slot long, mask long").groupBy("slot").agg(F.expr("bit_or(mask)").alias("mask")), "slots").toPandas()
+    placed = settle(map_arrow(members, place, "slot long, mask long").groupBy("slot").agg(F.expr("bit_or(mask)").alias("mask")), "slots").toPandas()
     slots = np.zeros(1 << slot_bits, kind)
     slots[placed["slot"].to_numpy(np.int64)] = placed["mask"].to_numpy(np.int64).view(np.uint64).astype(kind)
     return LanguageFilter(languages, slots, hashes)
@@ -223,7 +227,7 @@ def predict_language(df: DataFrame, model: LanguageFilter, text_col: str = "text
                 [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(cover, pa.float64())],
                 names=[*keep, *added])
 
-    return source.mapInArrow(predict, schema)
+    return map_arrow(source, predict, schema)
 
 
 def held_out(id_col: Column) -> Column:

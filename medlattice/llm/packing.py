@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlattice.llm.common import settle
+from medlattice.llm.common import map_arrow, settle
 
 # Words of plain ASCII or Latin-1 letters: their normal form is their lower case.
 _MARKS = frozenset(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
@@ -144,7 +144,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                      pa.array(n), pa.array(pieces, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
         tokenizer.forget()
 
-    return df.select(id_col, text_col).mapInArrow(cut, schema)
+    return map_arrow(df.select(id_col, text_col), cut, schema)
 
 
 class _Lengths:

@@ -249,6 +249,20 @@ def test_languages(docs, empty):
     assert langid.identify_languages(empty).count() == 0
 
 
+def test_texts_go_to_workers_in_small_batches(spark):
+    """Batches are bounded by bytes: whole batches of 10,000 texts took an executor of the pipeline beyond its memory."""
+    import pyarrow as pa
+
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    df = spark.range(0, 3000, 1, 1).selectExpr("repeat('some text ', 1000) as text")
+    langid.predict_language(df, langid.LanguageFilter([], np.zeros(4, np.uint8), 1)).count()  # operators set the bound
+    got = df.mapInArrow(measure, "rows long, bytes long").collect()
+    assert sum(r.rows for r in got) == 3000 and max(r.bytes for r in got) < 4_000_000
+
+
 def test_personal_data(spark, empty):
     text = "mail a.b@x.org, ip 10.0.0.255 or 10.0.0.256, card 4111 1111 1111 1111, call +1 (555) 123-4567; a@b"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
