@@ -22,11 +22,11 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlattice.llm.boosting import BoostedTrees
-from medlattice.llm.common import settle, text_slices
+from medlattice.llm.boosting import ONE, BoostedTrees, binned, fit_folds
+from medlattice.llm.common import map_arrow, settle, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -231,69 +231,120 @@ def _mark(text: str, start: int, end: int, kind: str) -> int:
 _CUE_FEATURES = (24, 26)
 
 
-def _sample(df: DataFrame, fit_rows: int) -> tuple[np.ndarray, list]:
-    """(examples of each stratum in all documents, sampled rows). One pass: each task counts all its examples and keeps those with the
-    smallest hashes of span and context; of these, about ``fit_rows`` of a stratum are collected. Equal examples are one row with a count."""
-    strata, most = 3 * len(KINDS), fit_rows + fit_rows // 4
+_FEATURES = 27
+_FOLDS = 5
+_MOST_HELD = 20_000
 
+
+def _examples(df: DataFrame) -> DataFrame:
+    """(stratum, h, x, n): all examples of all texts, equal ones (by their hash of span and context) as one row with a count. x: features as doubles."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, kept, last = np.zeros(strata, np.int64), [{} for _ in range(strata)], [1 << 63] * strata
+        held: dict[tuple[int, int], list] = {}
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in held], pa.int32()), pa.array([h for _, h in held], pa.int64()),
+                 pa.array([x for x, _ in held.values()], pa.binary()), pa.array([n for _, n in held.values()], pa.int64())],
+                names=["stratum", "h", "x", "n"])
+
         for batch in batches:
             for _, texts in text_slices(batch.column(0)):
                 for k, *x in (e for text in texts for e in examples(text)):
-                    totals[k] += 1
-                    h = _mark(*x)
-                    if h in kept[k]:
-                        kept[k][h][0] += 1
-                    elif h < last[k]:
-                        kept[k][h] = [1, [float(v) for v in features(*x)]]
-                        if len(kept[k]) > 2 * most:
-                            kept[k] = {m: kept[k][m] for m in sorted(kept[k])[:most]}
-                            last[k] = max(kept[k]) + 1
-        out = [(k, None, int(n), None) for k, n in enumerate(totals)] + [(k, m, n, x) for k, own in enumerate(kept) for m, (n, x) in sorted(own.items())[:most]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())))],
-                                         names=["stratum", "h", "n", "x"])
-
-    seen = settle(df.mapInArrow(rows, "stratum int, h long, n long, x array<double>"), "examples")
-    totals = np.zeros(strata)
-    for r in seen.where("h is null").groupBy("stratum").agg(F.sum("n").alias("n")).collect():
-        totals[r.stratum] = r.n
-    share = F.element_at(F.array(*[F.lit(float(min(1.0, fit_rows / max(1.0, n)))) for n in totals]), F.col("stratum") + 1)
-    return totals, (seen.where(F.col("h") / F.lit(float(2 ** 64)) + 0.5 <= share).groupBy("stratum", "h")
-                    .agg(F.first("x").alias("x"), F.sum("n").alias("n")).orderBy("h", "stratum").collect())
+                    own = k, _mark(*x)
+                    if own in held:
+                        held[own][1] += 1
+                        continue
+                    held[own] = [np.array(features(*x), float).tobytes(), 1]
+                    if len(held) >= _MOST_HELD:
+                        yield out()
+                        held = {}
+        yield out()
+
+    found = map_arrow(df, rows, "stratum int, h long, x binary, n long")
+    return settle(found.groupBy("stratum", "h", "x").agg(F.sum("n").alias("n")), "examples")
+
+
+def _features_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, stratum, hash) of rows of :func:`_examples`; half of the positives with evidence hide their cue words."""
+    x = np.frombuffer(b"".join(batch.column(2).to_pylist()), float).reshape(-1, _FEATURES).copy()
+    stratum, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    hidden = (stratum % 3 == 1) & (h // _FOLDS % 2 == 0)
+    for j in _CUE_FEATURES:
+        x[hidden, j] = 0
+    return x, stratum, h
+
+
+def _edges(seen: DataFrame, weights: np.ndarray, bins: int = 32) -> list[np.ndarray]:
+    """For each feature the values at which its weighted examples part into ``bins`` equal shares."""
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, stratum, _ = _features_of(batch)
+                for j in range(_FEATURES):
+                    v, at = np.unique(x[:, j], return_inverse=True)
+                    w = np.zeros(len(v), np.int64)
+                    np.add.at(w, at, weights[stratum])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), j, np.int32)), pa.array(v), pa.array(w)], names=["j", "v", "w"])
+
+    counted = map_arrow(seen, values, "j int, v double, w long").groupBy("j", "v").agg(F.sum("w").alias("w"))
+    run = (counted.withColumn("upto", F.sum("w").over(Window.partitionBy("j").orderBy("v")))
+           .withColumn("total", F.sum("w").over(Window.partitionBy("j"))))
+    parted = run.where(F.expr(f"least({bins - 1}, ({bins} * upto) div total) > ({bins} * (upto - w)) div total"))
+    out: list[list[float]] = [[] for _ in range(_FEATURES)]
+    for r in parted.select("j", "v").orderBy("j", "v").collect():
+        out[r.j].append(r.v)
+    return [np.array(v, float) for v in out]
 
 
 def fit_span_model(df: DataFrame, text_col: str = "text", fit_rows: int = 4000, precision: float = 0.98, least: int = 20) -> SpanModel:
-    """Trees and thresholds from the examples of all documents: about ``fit_rows`` of each stratum, with the smallest hashes of
-    span and context, weighted to the stratum's full count. Five fits score each fifth by the others, and thresholds are from these scores.
+    """Trees and thresholds from all examples of all documents. Equal examples count once for the trees, and a stratum of more than
+    ``fit_rows`` examples weighs as so many there, so that the few positives are heard. Five fits score each fifth by the others, and thresholds are
+    from these scores of all examples, as often as they occur; scores less than 2**-16 apart may count as equal.
     A kind with fewer than ``least`` different positives (with evidence, or in disguise) has none."""
-    totals, seen = _sample(df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), fit_rows)
-    if not seen:
+    seen = _examples(df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    totals, different = np.zeros(3 * len(KINDS)), np.zeros(3 * len(KINDS), np.int64)
+    for r in seen.groupBy("stratum").agg(F.sum("n").alias("n"), F.count("*").alias("c")).collect():
+        totals[r.stratum], different[r.stratum] = r.n, r.c
+    known = [i for i in range(len(KINDS)) if different[3 * i + 1:3 * i + 3].sum() >= least]
+    if not known:
         return SpanModel(BoostedTrees())
-    x, h = np.array([r.x for r in seen], float), np.array([r.h for r in seen])
-    stratum, n = np.array([r.stratum for r in seen]), np.array([r.n for r in seen], float)
-    hidden = (stratum % 3 == 1) & (h // 5 % 2 == 0)
-    for j in _CUE_FEATURES:
-        x[hidden, j] = 0
-    weight = n * (totals / np.maximum(1, np.bincount(stratum, n, len(totals))))[stratum]
-    y, p, fold = (stratum % 3 > 0).astype(float), np.zeros(len(h)), h % 5
-    for k in range(5):
-        out = fold == k
-        if out.any():
-            p[out] = BoostedTrees().fit(x[~out], y[~out]).probability(x[out])
-    thresholds = {}
-    for i, name in enumerate(KINDS):
-        own = np.flatnonzero(stratum // 3 == i)
-        if y[own].sum() < least:
-            continue
-        own = own[np.argsort(-p[own], kind="stable")]
-        right = np.cumsum(weight[own] * y[own]) / np.cumsum(weight[own])
-        last = np.append(np.diff(p[own]) != 0, True)  # of equal scores
-        good = np.flatnonzero((right >= precision) & last)
+    weights = np.rint(np.minimum(1.0, fit_rows / np.maximum(1.0, totals)) * ONE).astype(np.int64)
+    edges = _edges(seen, weights)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, stratum, h = _features_of(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b.tobytes() for b in binned(x, edges)], pa.binary()), pa.array((h % _FOLDS).astype(np.int32)), batch.column(0),
+                     pa.array(weights[stratum]), batch.column(3)], names=["bins", "fold", "stratum", "weight", "n"])
+
+    rows = settle(map_arrow(seen, place, "bins binary, fold int, stratum int, weight long, n long").groupBy("bins", "fold", "stratum")
+                  .agg(F.sum("weight").alias("weight"), F.sum("n").alias("n")), "binned")
+    models = fit_folds(rows.withColumn("y", (F.col("stratum") % 3 > 0).cast("int")), edges, _FOLDS)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = [np.append(e, np.inf) for e in edges]  # a bin's scores are those of its upper end
+        for batch in batches:
+            if batch.num_rows:
+                bins = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, _FEATURES)
+                x = np.stack([e[bins[:, j]] for j, e in enumerate(upper)], axis=1)
+                fold, p = batch.column(1).to_numpy(), np.zeros(len(bins))
+                for k in range(_FOLDS):
+                    p[fold == k] = models[k].probability(x[fold == k])
+                yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(p)], names=["stratum", "n", "p"])
+
+    scored = map_arrow(rows.select("bins", "fold", "stratum", "n"), score, "stratum int, n long, p double")
+    cells = scored.groupBy(F.expr("stratum div 3").alias("kind"), F.floor(F.col("p") * 65536).alias("cell")).agg(
+        F.min("p").alias("low"), F.max("p").alias("high"), F.sum(F.when(F.col("stratum") % 3 > 0, F.col("n")).otherwise(0)).alias("right"), F.sum("n").alias("n"))
+    found, thresholds = cells.orderBy("kind", F.desc("cell")).toPandas(), {}
+    for i in known:
+        own = found[found.kind == i]
+        good = np.flatnonzero((own.right.cumsum() / own.n.cumsum()).to_numpy() >= precision)
         if len(good):
-            below = p[own][good[-1] + 1:good[-1] + 2]
-            thresholds[name] = max(0.5, float(p[own][good[-1]] + below[0]) / 2 if len(below) else 0.0)
-    return SpanModel(BoostedTrees().fit(x, y), thresholds)
+            last, below = own.low.iloc[good[-1]], own.high.iloc[good[-1] + 1:good[-1] + 2]
+            thresholds[KINDS[i]] = max(0.5, float(last + below.iloc[0]) / 2 if len(below) else 0.0)
+    return SpanModel(models[-1], thresholds)
 
 
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 4000, keep_text: bool = False) -> DataFrame:
@@ -321,8 +372,8 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             columns = [batch.column(0), pa.array(base, arrow), pa.array(spans, scored)] + ([batch.column(1)] if keep_text else [])
             yield pa.RecordBatch.from_arrays(columns, names=["id", "base", "spans", "text"][:len(columns)])
 
-    out = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        find, f"id {kind}, base {span % ''}, spans {span % ',probability:double'}" + (", text string" if keep_text else ""))
+    out = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    out = map_arrow(out, find, f"id {kind}, base {span % ''}, spans {span % ',probability:double'}" + (", text string" if keep_text else ""))
     return out.withColumnRenamed("id", id_col)
 
 

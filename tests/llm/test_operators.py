@@ -313,6 +313,39 @@ def test_personal_data_disguised_only(spark):
     assert all(0.5 <= x.probability <= 1 for r in got for x in r.spans if x.probability is not None)
 
 
+def test_personal_data_learns_from_all_examples(spark):
+    """``fit_rows`` is a weight, no cut: with few, all examples are still learned from."""
+    rows, planted = [], {}
+    for i in range(300):
+        said, kind = [(f"call {200 + i} {300 + i} {4000 + i}", "phone"), (f"order {10 ** 11 + i * 7919}", None), (f"call +1 {200 + i} {300 + i} {4000 + i}", None)][i % 3]
+        before = f"{_text(i, 6)} "
+        rows.append((i, f"{before}{said}, {_text(i, 4)}"))
+        if kind:
+            planted[i] = (kind, len(before) + 5, len(before) + len(said))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pii.find_personal_data(df, fit_rows=5).collect()
+    added = {r.doc_id: {tuple(x)[:3] for x in r.spans if x.probability is not None} for r in got}
+    assert all(planted[i] in added[i] for i in planted) and not any(added[i] for i in added if i not in planted)
+    seen = pii._examples(df.select("text")).collect()
+    assert sum(r.n for r in seen) == sum(1 for _, text in rows for _ in pii.examples(text))
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    from medlattice.llm import boosting
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (3000, 4)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 1] > 2) | (rng.random(3000) < 0.1)).astype(int)
+    edges = [np.arange(8.0) for _ in range(4)]
+    fold = rng.integers(0, 2, 3000)
+    rows = [(bytearray(b.tobytes()), int(f), int(t), boosting.ONE) for b, f, t in zip(boosting.binned(x, edges), fold, y)]
+    got = boosting.fit_folds(spark.createDataFrame(rows, "bins binary, fold int, y int, weight long"), edges, 2, trees=10)
+    for m, model in enumerate(got):
+        use = fold != m
+        want = boosting.BoostedTrees(trees=10).fit(x[use], y[use], edges)
+        assert np.allclose(model.probability(x), want.probability(x), atol=1e-4)
+
+
 _CONTRACT = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
              "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
