@@ -11,12 +11,15 @@ Graph representation:
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medlattice.functions.scalars import safe_ratio
+from medlattice.operators import walk
 from medlattice.operators.indexing import dense_index
-from medlattice.session import ensure_checkpoint_dir, maybe_broadcast, proven_small, written
+from medlattice.session import DEFAULT_BROADCAST_BYTES, maybe_broadcast, written
 
 PATIENT = "patient"
 # Keys of one code in one list of the all-pairs count.
@@ -26,10 +29,6 @@ EDGE_SALT_TARGET = 100_000
 # Cached weighted edges per partition in the random-walk loop (measured: ~150k
 # edges per task balances per-round task overhead and parallelism).
 EDGES_PER_PARTITION = 150_000
-# Blocks of far vertices in the walk between two sides, at most so many edges of one way in each: a round shuffles each near vertex once a block at
-# most, so their number does not follow the edges below this size.
-WALK_BLOCKS = 32
-EDGES_PER_BLOCK = 4_000_000
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:
@@ -261,57 +260,51 @@ def _with_ranks(vertices: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def _walk_between_sides(vertices: DataFrame, edges: DataFrame, source: int, num_iter: int, alpha: float, salt_target: int) -> DataFrame | None:
     """(vid, rank) of :func:`random_walk` where each edge joins the source's side (near) and the other one (far); None if a far vertex is hot or
-    the near ranks are too many to be broadcast.
+    the near ranks are too many to be broadcast. Vertices with rank 0 may be left out.
 
     A side's ranks of a round follow from the other side's of the round before. All far ranks are 0 at the start, so round 1 leaves the near
     ranks as they are, round 2 changes them, and so on: round 2k + 1 gives the near side nothing new, nor round 2k the far side, and two
-    rounds are one step from near to near. Both ways' edges are cached in blocks by their far vertex: the far ranks are made and used inside a
-    block and never shuffled; what is shuffled is one partial sum per near vertex and block. The near ranks, one small row per
-    vertex, are written each step (which cuts the lineage) and broadcast.
+    rounds are one step from near to near. Both ways' edges are kept in blocks by their far vertex (:mod:`medlattice.operators.walk`): the far ranks
+    are made and used inside a block and never shuffled. The near ranks are one array, which goes out to the tasks each step and comes back
+    as one partial sum per task.
     """
     spark = edges.sparkSession
     near = (lambda c: F.col(c) >= 0) if source >= 0 else (lambda c: F.col(c) < 0)
-    outdeg = written(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg")), "walk-degrees")
-    w_edges = edges.select("src", "dst").join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"))
-    from_near = w_edges.where(near("src")).select(F.col("src").alias("vid"), F.col("dst").alias("far"), "w")
-    to_near = w_edges.where(near("dst")).select(F.col("src").alias("far"), F.col("dst").alias("vid"), "w")
     seed = written(vertices.where(F.col("vertex_id") == source).select(F.col("vertex_id").alias("vid"), F.lit(alpha).alias("rank")), "walk-ranks")
-    prev_aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
-    n_edges = outdeg.agg(F.sum("_deg")).first()[0] or 0
-    n = min(int(prev_parts), max(WALK_BLOCKS, -(-n_edges // (2 * EDGES_PER_BLOCK))))
-    cached = []
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    copies = seed.count()
+    ends = edges.select(F.when(near("src"), F.col("src")).otherwise(F.col("dst")).cast("long").alias("vid"), near("src").cast("long").alias("out"))
+    degrees = written(ends.where(near("vid")).groupBy("vid").agg(F.coalesce(F.sum("out"), F.lit(0)).alias("deg")), "walk-degrees")
+    if degrees.count() * 8 > DEFAULT_BROADCAST_BYTES:
+        return None
+    found = degrees.toArrow()
+    vid, deg = (found.column(c).to_numpy() for c in ("vid", "deg"))
+    ids = np.union1d(vid, np.array([source], dtype=np.int64))
+    degree = np.zeros(len(ids))
+    degree[np.searchsorted(ids, vid)] = deg
+    own = int(np.searchsorted(ids, source))
+    share = lambda x: x / np.maximum(degree, 1.0)
+    shared, blocks = spark.sparkContext.broadcast(ids), None
     try:
-        from_near, to_near = (e.repartition(n, "far").persist() for e in (from_near, to_near))
-        cached = [from_near, to_near]
-        hot = [e.groupBy("far").agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0 for e in cached]
-        if max(hot) > salt_target or not proven_small(written(to_near.select("vid").distinct().withColumn("rank", F.lit(alpha)), "walk-near")):
+        blocks = walk.blocks_of(edges, near, shared, int(deg.sum()), salt_target)
+        if blocks is None:
             return None
-
-        def far_ranks(x: DataFrame) -> DataFrame:
-            met = from_near.join(F.broadcast(x), "vid")
-            return met.groupBy("far").agg(((1.0 - alpha) * F.sum(F.col("rank") * F.col("w"))).alias("rank"))
-
-        def two_rounds(x: DataFrame) -> DataFrame:
-            met = to_near.join(far_ranks(x).hint("shuffle_hash"), "far").select("vid", (F.col("rank") * F.col("w")).alias("m"))
-            summed = met.unionByName(seed.select("vid", F.lit(0.0).alias("m"))).groupBy("vid").agg(F.sum("m").alias("s"))
-            return written(summed.select("vid", ((1.0 - alpha) * F.col("s") + F.when(F.col("vid") == source, F.lit(alpha)).otherwise(F.lit(0.0)))
-                                         .alias("rank")), "walk-ranks")
-
-        x, before = seed, None
+        x, before = np.zeros(len(ids)), None
+        x[own] = copies * alpha
         for _ in range(num_iter // 2):
-            x, before = two_rounds(x), x
+            before, x = x, (1.0 - alpha) * walk.near_step(blocks, share(x), alpha)
+            x[own] += alpha if copies else 0.0
+        if num_iter < 2:
+            ranks = seed
+        else:
+            live = np.flatnonzero(x)
+            ranks = written(spark.createDataFrame(pa.table({"vid": ids[live], "rank": x[live]}), "vid long, rank double"), "walk-ranks")
         if num_iter:
-            y = written(far_ranks(x if num_iter % 2 else before).select(F.col("far").alias("vid"), "rank"), "walk-ranks")
-            x = x.unionByName(y)
-        return x
+            ranks = ranks.unionByName(written(walk.far_ranks(blocks, share(x if num_iter % 2 else before), alpha), "walk-ranks"))
+        return ranks
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
-        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
-        for e in cached:
-            e.unpersist()
+        if blocks is not None:
+            blocks.unpersist()
+        shared.destroy()
 
 
 def random_walk_one_vs_all(vertices: DataFrame, edges: DataFrame, source: int,

@@ -1,9 +1,10 @@
 import datetime as dt
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from medlattice.operators import graph
+from medlattice.operators import graph, walk
 
 D = dt.date
 
@@ -138,3 +139,49 @@ def test_shared_counts_far_apart_keys(spark):
         out = graph.shared_counts(df, "k", ["code"])
         assert [tuple(r) for r in out.collect()] == [(*keys, 2)] and dict(out.dtypes)["p1"] == "bigint"
         assert ("cast(p1#" in out._jdf.queryExecution().optimizedPlan().toString()) == (kind == "int")
+
+
+def test_walk_writes_nothing_per_round(spark, monkeypatch):
+    """More rounds do not write more tables: the near ranks go out and back as one array."""
+    v, e = _toy(spark)
+    labels, write = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, label: labels.append(label) or write(df, label))
+    tables = []
+    for rounds in (2, 12):
+        labels.clear()
+        got = {r.vertex_id: r.rank for r in graph.random_walk(v, e, 1, rounds, 0.15).collect()}
+        tables.append(sorted(labels))
+        want = _brute_walk(list(got), [(r.src, r.dst) for r in e.collect()], 1, rounds, 0.15)
+        assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    assert tables[0] == tables[1]
+
+
+def test_walk_blocks(spark, monkeypatch):
+    """Small blocks, repeated edges, null ends (which take their share nowhere) and a source that is no vertex give the ranks of plain sums."""
+    rng = np.random.default_rng(5)
+    both = [(int(p), -int(c)) for p, c in zip(rng.integers(0, 30, 150), rng.integers(1, 40, 150), strict=True)]
+    edges = [*both, *[(c, p) for p, c in both if rng.random() < 0.9], (3, None), (-5, None), (-5, None), (None, -6), (None, 4), (None, None)]
+    df = spark.createDataFrame(edges, "src long, dst long").repartition(3)
+    v = spark.createDataFrame([(i,) for i in [*range(31), *range(-40, 0)]], "vertex_id long")
+    deg = {}
+    for s, _ in edges:
+        deg[s] = deg.get(s, 0) + 1
+    monkeypatch.setattr(walk, "CHUNK", 8)
+    for most, rounds, source in ((7, 6, 3), (40, 7, 3), (2_000_000, 1, 3), (20, 4, 99)):
+        monkeypatch.setattr(walk, "BLOCK_EDGES", most)
+        start = {3: 0.2, 99: 0.0}[source]
+        want = {source: start}
+        for _ in range(rounds):
+            new = {source: start}
+            for s, d in edges:
+                if s is not None and d is not None and s in want:
+                    new[d] = new.get(d, 0.0) + 0.8 * want[s] / deg[s]
+            want = new
+        got = {r.vid: r.rank for r in graph._walk_between_sides(v, df, source, rounds, 0.2, 100).collect()}
+        assert all(abs(got.get(k, 0.0) - want.get(k, 0.0)) < 1e-12 for k in {*got, *want}), (most, rounds, source)
+    ids = type("Shared", (), {"value": np.arange(30)})
+    far = np.repeat([-9, -8, -7], [3, 90, 5])
+    table = [pa.record_batch([pa.array(x[i:i + 4]) for x in (far, np.arange(98) % 30, np.zeros(98, np.int8))], ["far", "vid", "way"]) for i in range(0, 98, 4)]
+    assert [r.column("most")[0].as_py() for r in walk.blocks_task(ids, 10, 90)(iter(table))] == [3, 90, 5]
+    hot = [*walk.blocks_task(ids, 10, 50)(iter(table))]
+    assert hot[-1].column("far")[0].as_py() is None and hot[-1].column("most")[0].as_py() > 50  # what is left is not kept
