@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from medlattice.functions.scalars import safe_ratio
 from medlattice.operators import walk
 from medlattice.operators.indexing import dense_index
-from medlattice.session import DEFAULT_BROADCAST_BYTES, maybe_broadcast, written
+from medlattice.session import DEFAULT_BROADCAST_BYTES, maybe_broadcast, proven_small, written
 
 PATIENT = "patient"
 # Keys of one code in one list of the all-pairs count.
@@ -63,7 +63,9 @@ def build_graph(patients: DataFrame, records: DataFrame,
 
     latest = records.groupBy("patient_id", "kind", "code").agg(
         F.max_by(F.struct(*record_cols), F.struct(*order_cols)).alias("rec"))
-    pc = (latest.join(maybe_broadcast(code_index), ["kind", "code"])
+    # An index too large to be broadcast is hashed, one row per code: the pairs, which are many more, are not sorted by their codes' text.
+    index = F.broadcast(code_index) if proven_small(code_index) else code_index.hint("shuffle_hash")
+    pc = (latest.join(index, ["kind", "code"])
           .select(F.col("patient_id").cast("long").alias("p"), (-1 - F.col("_i")).alias("c"), "kind", "rec"))
     # Both directions from one row: a union would aggregate and join the records twice.
     ways = F.array(F.struct(F.col("p").alias("src"), F.col("c").alias("dst")), F.struct(F.col("c").alias("src"), F.col("p").alias("dst")))

@@ -15,8 +15,10 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Edges (of both ways) in a block, unless one far vertex has more; and in a partition before it is cut into blocks.
-BLOCK_EDGES = 2_000_000
+# Edges (of both ways) in a block, unless one far vertex has more: a worker holds one at a time, some 100 bytes an edge while it is made.
+BLOCK_EDGES = 1_000_000
+# Edges (of both ways) in a partition of blocks.
+PARTITION_EDGES = 2_000_000
 # Near vertices in one row of the sums of a step.
 CHUNK = 1 << 16
 # Ways of an edge: into the far vertex, out of it, and out of it to a null (which takes its share of the rank nowhere).
@@ -108,7 +110,7 @@ def blocks_of(edges: DataFrame, near: Callable, shared, n_edges: int, target: in
         F.when(near("src"), F.col("dst")).when(~near("src"), F.col("src")).cast("long").alias("far"),
         F.coalesce(F.when(near("src"), F.col("src")).otherwise(F.col("dst")), F.lit(0)).cast("long").alias("vid"),
         F.when(near("src"), INTO).when(F.col("dst").isNull(), NOWHERE).otherwise(OUT).cast("byte").alias("way")).where(F.col("far").isNotNull())
-    n = max(1, -(-2 * n_edges // BLOCK_EDGES))
+    n = max(1, -(-2 * n_edges // PARTITION_EDGES))
     made = rows.repartition(n, "far").sortWithinPartitions("far").mapInArrow(blocks_task(shared, BLOCK_EDGES, target), _BLOCK)
 
     def arrays(r) -> tuple:  # noqa: ANN001

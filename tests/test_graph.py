@@ -169,6 +169,7 @@ def test_walk_blocks(spark, monkeypatch):
     monkeypatch.setattr(walk, "CHUNK", 8)
     for most, rounds, source in ((7, 6, 3), (40, 7, 3), (2_000_000, 1, 3), (20, 4, 99)):
         monkeypatch.setattr(walk, "BLOCK_EDGES", most)
+        monkeypatch.setattr(walk, "PARTITION_EDGES", 3 * most)
         start = {3: 0.2, 99: 0.0}[source]
         want = {source: start}
         for _ in range(rounds):
@@ -185,3 +186,13 @@ def test_walk_blocks(spark, monkeypatch):
     assert [r.column("most")[0].as_py() for r in walk.blocks_task(ids, 10, 90)(iter(table))] == [3, 90, 5]
     hot = [*walk.blocks_task(ids, 10, 50)(iter(table))]
     assert hot[-1].column("far")[0].as_py() is None and hot[-1].column("most")[0].as_py() > 50  # what is left is not kept
+
+
+def test_large_code_index_is_hashed(spark, monkeypatch):
+    """A code index that is too large to be broadcast is the hashed side: the pairs are not sorted by code. The edges stay the same."""
+    want = sorted((r.src, r.dst, r.kind, r.value) for r in _toy(spark)[1].collect())
+    monkeypatch.setattr(graph, "proven_small", lambda df, *_: False)
+    e = _toy(spark)[1]
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r.src, r.dst, r.kind, r.value) for r in e.collect()) == want
